@@ -11,50 +11,64 @@ from pyspark.sql import functions as F
 #   5/13/24      month/day/short year
 #   13/05/2024   day/month/year
 #   05/13/2024   month/day/year
-YEAR_FIRST = r"^\d{1,4}-\d{1,2}-\d{1,2}$"
-MONTH_NAME = r"^\d{1,2}-[A-Za-z]{3}-\d{1,2}$"
-SLASHES = r"^\d{1,2}/\d{1,2}/\d{1,4}$"
+WHITESPACE = "[ \t\n\r\f\x0b]*"
+YEAR_FIRST = f"^{WHITESPACE}[0-9]{{1,4}}-[0-9]{{1,2}}-[0-9]{{1,2}}{WHITESPACE}$"
+MONTH_NAME = f"^{WHITESPACE}[0-9]{{1,2}}-[A-Za-z]{{3}}-[0-9]{{1,2}}{WHITESPACE}$"
+SHORT_YEAR = f"^{WHITESPACE}[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{1,2}}{WHITESPACE}$"
+LONG_YEAR = f"^{WHITESPACE}[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{3,4}}{WHITESPACE}$"
 
-WHITESPACE = " \t\n\r\f\x0b"
 MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 FIRST_SHORT_YEAR_OF_1900S = 69
 
 
-def parse_date(text: Column) -> Column:
-    """First form that gives a real day, else null.
+def parse_date(column: str) -> Column:
+    """First form that gives a real day, else null."""
+    return F.expr(date_sql(f"`{column}`"))
 
-    A shape test picks the form, and the parts are put in ISO order for a lenient cast, which
+
+def date_sql(column: str) -> str:
+    """The same as SQL text.
+
+    A shape test picks the form, and the numbers are put in ISO order for a lenient cast, which
     returns null on a bad day. Trying date patterns one after another would raise an exception
     per row and per failed pattern inside the executor.
     """
-    text = F.btrim(text, F.lit(WHITESPACE))
-    dashed, slashed = F.split(text, "-"), F.split(text, "/")
-    first, second, year = slashed[0], slashed[1], slashed[2]
-    return (
-        F.when(text.rlike(YEAR_FIRST), _day(dashed[0], dashed[1], dashed[2]))
-        .when(text.rlike(MONTH_NAME), _day(_century(dashed[2]), _month(dashed[1]), dashed[0]))
-        .when(
-            text.rlike(SLASHES),
-            F.coalesce(
-                F.when(F.length(year) <= 2, _day(_century(year), first, second)),
-                _day(year, second, first),
-                _day(year, first, second),
-            ),
-        )
-    )
-
-
-def _day(year: Column, month: Column, day: Column) -> Column:
-    return F.concat_ws("-", F.lpad(year, 4, "0"), month, day).try_cast("date")
-
-
-def _century(short_year: Column) -> Column:
-    number = short_year.cast("int")
-    base = F.when(number < FIRST_SHORT_YEAR_OF_1900S, F.lit(2000)).otherwise(F.lit(1900))
-    return (base + number).cast("string")
-
-
-def _month(name: Column) -> Column:
-    place = F.instr(F.lit(MONTHS), F.lower(name))
-    # An unknown name leaves a month no calendar has, so that the cast gives null.
-    return F.when(place % 3 == 1, F.floor((place + 2) / 3)).otherwise(F.lit(0)).cast("string")
+    first, second, third = _parts(column, "/")
+    head, middle, tail = _parts(column, "-")
+    return f"""case
+        when {column} rlike '{YEAR_FIRST}'
+            then {_day(_whole(head), _whole(middle), _whole(tail))}
+        when {column} rlike '{MONTH_NAME}'
+            then {_day(_full_year(tail), _month(middle), _whole(head))}
+        when {column} rlike '{SHORT_YEAR}' then coalesce(
+            {_day(_full_year(third), _whole(first), _whole(second))},
+            {_day(_whole(third), _whole(second), _whole(first))})
+        when {column} rlike '{LONG_YEAR}' then coalesce(
+            {_day(_whole(third), _whole(second), _whole(first))},
+            {_day(_whole(third), _whole(first), _whole(second))})
+        end"""
+
+
+def _parts(column: str, mark: str) -> tuple[str, str, str]:
+    head = f"substring_index({column}, '{mark}', 1)"
+    middle = f"substring_index(substring_index({column}, '{mark}', 2), '{mark}', -1)"
+    return head, middle, f"substring_index({column}, '{mark}', -1)"
+
+
+def _day(year: str, month: str, day: str) -> str:
+    return f"try_cast(concat(lpad({year}, 4, '0'), '-', {month}, '-', {day}) as date)"
+
+
+def _whole(part: str) -> str:
+    return f"cast({part} as int)"  # tolerates the outer spaces
+
+
+def _full_year(part: str) -> str:
+    number = _whole(part)
+    return f"if({number} < {FIRST_SHORT_YEAR_OF_1900S}, 2000, 1900) + {number}"
+
+
+def _month(name: str) -> str:
+    # An unknown name gives a month no calendar has, so that the cast returns null.
+    place = f"locate(lower({name}), '{MONTHS}')"
+    return f"if({place} % 3 = 1, ({place} + 2) div 3, 0)"

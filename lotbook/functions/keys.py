@@ -10,11 +10,8 @@ NULL_TEXT = "__dbt_null__"
 SEPARATOR = "|"
 
 
-def surrogate_key(*columns: Column | str) -> Column:
-    """md5 over the columns as text. Use whole numbers and strings only: the text form of a
-    floating point number differs between engines."""
-    texts = [
-        F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(NULL_TEXT))
-        for c in columns
-    ]
-    return F.md5(F.concat_ws(SEPARATOR, *texts))
+def surrogate_key(*columns: str) -> Column:
+    """md5 over columns (or SQL expressions) as text. Use whole numbers and strings only: the
+    text form of a floating point number differs between engines."""
+    texts = [f"coalesce(cast({column} as string), '{NULL_TEXT}')" for column in columns]
+    return F.expr(f"md5(concat_ws('{SEPARATOR}', {', '.join(texts)}))")

@@ -6,8 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(F.trim(text), F.lit(""))
+def blank_to_null(column: str) -> Column:
+    return F.expr(blank_to_null_sql(f"`{column}`"))
+
+
+def blank_to_null_sql(column: str) -> str:
+    return f"nullif(trim({column}), '')"
 
 
 def fold(text: Column) -> Column:

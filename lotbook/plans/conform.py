@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from lotbook.functions import blank_to_null, parse_date
+from lotbook.functions.dates import date_sql
+from lotbook.functions.text import blank_to_null_sql
 from lotbook.plans.entities import DAY, ENTITIES, LINEAGE, SQL_TYPES, TEXT, Field
 
 
-def typed(field: Field, lenient: bool = False) -> Column:
-    text = blank_to_null(F.col(field.raw).cast("string"))
+def typed_sql(field: Field, lenient: bool = False) -> str:
+    if field.kind == DAY:
+        return date_sql(f"`{field.raw}`")
+    text = blank_to_null_sql(f"`{field.raw}`")
     if field.kind == TEXT:
         return text
-    if field.kind == DAY:
-        return parse_date(text)
-    sql_type = SQL_TYPES[field.kind]
-    return text.try_cast(sql_type) if lenient else text.cast(sql_type)
+    return f"{'try_cast' if lenient else 'cast'}({text} as {SQL_TYPES[field.kind]})"
 
 
 def conform(raw: DataFrame, entity: str, lenient: bool = False) -> DataFrame:
@@ -25,5 +24,5 @@ def conform(raw: DataFrame, entity: str, lenient: bool = False) -> DataFrame:
     A number that does not parse fails the job (``lenient``: gives null). A date that fits no
     form gives null and is left to the not-null checks.
     """
-    fields = [typed(field, lenient).alias(field.typed) for field in ENTITIES[entity]]
-    return raw.select(*fields, *LINEAGE)
+    columns = [f"{typed_sql(field, lenient)} as `{field.typed}`" for field in ENTITIES[entity]]
+    return raw.selectExpr(*columns, *LINEAGE)

@@ -73,10 +73,9 @@ def recipe_constituents(gold: Tables, recipe_id: str, batch_number: int) -> Data
     recipe = gold["dim_recipe"].filter(
         (F.col("recipe_id") == recipe_id) & (F.col(VERSION) == batch_number)
     )
-    parts = gold["fact_recipe_components"].filter(
-        (F.col(VERSION) == batch_number)
-        & (F.col("recipe_sk") == surrogate_key(F.lit(recipe_id), F.lit(batch_number)))
-    )
+    asked = gold["fact_recipe_components"].filter(F.col(VERSION) == batch_number)
+    keyed = asked.withColumns({"_id": F.lit(recipe_id), "_batch": F.lit(batch_number)})
+    parts = keyed.filter(F.col("recipe_sk") == surrogate_key("_id", "_batch")).drop("_id", "_batch")
     return (
         _with_component_names(
             parts.join(recipe.select("recipe_sk", "recipe_id"), "recipe_sk"), gold

@@ -43,7 +43,7 @@ def in_order(df, column):
 
 def test_blank_to_null(spark):
     df = one_column(spark, ["  ab ", "   ", "", None, "\t"])
-    assert in_order(df, blank_to_null(F.col("v"))) == ["ab", None, None, None, "\t"]
+    assert in_order(df, blank_to_null("v")) == ["ab", None, None, None, "\t"]
 
 
 def test_fold(spark):
@@ -53,12 +53,12 @@ def test_fold(spark):
 
 def test_parse_date(spark):
     df = one_column(spark, list(DATES))
-    assert in_order(df, parse_date(F.col("v"))) == list(DATES.values())
+    assert in_order(df, parse_date("v")) == list(DATES.values())
 
 
 def test_parse_date_agrees_with_format_by_format_parsing(spark):
     texts = [t for t in DATES if t] + ODD_DATES
-    ours = in_order(one_column(spark, texts), parse_date(F.col("v")).cast("string"))
+    ours = in_order(one_column(spark, texts), parse_date("v").cast("string"))
     forms = ["%Y-%m-%d", "%d-%b-%y", "%m/%d/%y", "%d/%m/%Y", "%m/%d/%Y"]
     tries = ", ".join(f"try_strptime(t, '{f}')::date" for f in forms)
     con = duckdb.connect()
@@ -77,7 +77,7 @@ def test_surrogate_key(spark):
 def test_surrogate_key_is_typed_text(spark):
     df = spark.createDataFrame([(7, "x")], "a bigint, b string")
     key = duckdb.connect().execute("select md5('7|x')").fetchone()[0]
-    assert df.select(surrogate_key(F.col("a"), F.col("b"))).first()[0] == key
+    assert df.select(surrogate_key("a", "b")).first()[0] == key
 
 
 def test_percentage(spark):

@@ -11,7 +11,9 @@ not add up, empty component slots, providers and flavours that do not exist.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -198,27 +200,36 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def raw_table(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    arms = [_load(spark, sf_dir, entity, load) for load in LOADS[entity]]
-    table = arms[0]
-    for arm in arms[1:]:
-        table = table.unionByName(arm)
-    return table
+class Base(Mapping[str, DataFrame]):
+    """The driver's tables, each opened once."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir, self._open = spark, sf_dir, {}
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {entity: raw_table(spark, sf_dir, entity) for entity in LOADS}
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._open:
+            self._open[table] = read(self._spark, self._sf_dir, table)
+        return self._open[table]
 
+    def __iter__(self):
+        raise TypeError("open tables by name")
 
-def _load(spark: SparkSession, sf_dir: str, entity: str, load: Load) -> DataFrame:
-    df = read(spark, sf_dir, load.base)
+    def __len__(self) -> int:
+        return len(self._open)
+
+
+def raw_table(base: Base, entity: str) -> DataFrame:
+    return reduce(
+        DataFrame.unionByName, [_load(base, entity, load) for load in LOADS[entity]]
+    )
+
+
+def _load(base: Base, entity: str, load: Load) -> DataFrame:
+    df = base[load.base]
     if load.nation:
-        nation = read(spark, sf_dir, "nation")
-        df = df.join(nation, F.expr(f"{load.nation} = n_nationkey"))
-    if load.copies > 1 or "k" in load.only.split():
-        df = df.withColumn("k", F.explode(F.array(*map(F.lit, range(1, load.copies + 1)))))
-    else:
-        df = df.withColumn("k", F.lit(1))
+        df = df.join(base["nation"], F.expr(f"{load.nation} = n_nationkey"))
+    copies = ", ".join(map(str, range(1, load.copies + 1)))
+    df = df.selectExpr("*", f"explode(array({copies})) as k" if load.copies > 1 else "1 as k")
     if load.only:
         df = df.filter(load.only)
     lineage = (f"'{entity}.csv'", load.stamped(), f"'{load.load}'")

@@ -30,7 +30,7 @@ from lotbook.sources import Warehouse, load_raw
 from lotbook.sources.raw import read_log
 from workload import oracle
 from workload.oracle import date, exact, key, pct, query
-from workload.raw import raw_table, raw_tables, read
+from workload.raw import Base, raw_table, read
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -56,23 +56,26 @@ def shown(df: DataFrame) -> DataFrame:
     """Types the two engines print alike: stamps as text, exact sums as DOUBLE."""
     columns = []
     for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
+        name = f"`{field.name}`"
         if field.dataType.typeName().startswith("timestamp"):
-            column = column.cast("string")
+            columns.append(f"cast({name} as string) as {name}")
         elif isinstance(field.dataType, DecimalType):
-            column = column.cast("double")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            columns.append(f"cast({name} as double) as {name}")
+        else:
+            columns.append(name)
+    return df.selectExpr(*columns)
 
 
 class Silver(Mapping[str, DataFrame]):
     """Typed tables over the derived raw ones, each made when asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._sf_dir = spark, sf_dir
+        self._base, self._made = Base(spark, sf_dir), {}
 
     def __getitem__(self, entity: str) -> DataFrame:
-        return conform(raw_table(self._spark, self._sf_dir, entity), entity)
+        if entity not in self._made:
+            self._made[entity] = conform(raw_table(self._base, entity), entity)
+        return self._made[entity]
 
     def __iter__(self):
         return iter(ENTITIES)
@@ -82,35 +85,29 @@ class Silver(Mapping[str, DataFrame]):
 
 
 def gold_of(spark: SparkSession, sf_dir: str) -> rebuild.LazyGold:
-    silver = Silver(spark, sf_dir)
-    # Batches of all entities come from the same two date columns, or from fewer copies.
-    dates = (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
-    spans = [
-        version_span(read(spark, sf_dir, table).select(F.year(column).alias("y")), "y")
-        for table, column in dates
-    ]
-    return rebuild.LazyGold(silver, max(spans))
+    # The batches of recipes and ingredients are years of this column; the other versioned
+    # entities have a few copies each.
+    years = read(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("year"))
+    return rebuild.LazyGold(Silver(spark, sf_dir), max(8, version_span(years, "year")))
 
 
-def exact_sums(gold: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+class ExactSums(Mapping[str, DataFrame]):
     """The same tables with DECIMAL measures, whose sums do not depend on the order."""
-    measures = {
+
+    MEASURES = {
         "fact_sales_transactions": ("amount_dollars", "decimal(18,2)"),
         "fact_provider_ingredient_stock": ("stock_value_dollars", "decimal(18,2)"),
         "fact_recipe_components": ("component_ratio", "decimal(18,4)"),
     }
-    return ExactSums(gold, measures)
 
-
-class ExactSums(Mapping[str, DataFrame]):
-    def __init__(self, gold, measures):
-        self._gold, self._measures = gold, measures
+    def __init__(self, gold: Mapping[str, DataFrame]):
+        self._gold = gold
 
     def __getitem__(self, table: str) -> DataFrame:
         df = self._gold[table]
-        if table not in self._measures:
+        if table not in self.MEASURES:
             return df
-        name, kind = self._measures[table]
+        name, kind = self.MEASURES[table]
         return df.withColumn(name, F.col(name).cast(kind))
 
     def __iter__(self):
@@ -127,7 +124,9 @@ class ExactSums(Mapping[str, DataFrame]):
 def loaded_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The raw tables written as CSV drops and loaded twice, in the cluster's shared folder."""
     root = f"{shared_folder(spark)}/lotbook-{uuid.uuid4()}"
-    for entity, raw in raw_tables(spark, sf_dir).items():
+    base = Base(spark, sf_dir)
+    for entity in ENTITIES:
+        raw = raw_table(base, entity)
         raw.select(*(field.raw for field in ENTITIES[entity])).write.csv(
             f"{root}/drops/{entity}.csv",
             header=True,
@@ -229,7 +228,7 @@ DATE_TEXT = """
 )
 def _(spark, sf_dir):
     orders = read(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{DATE_TEXT} as written")
-    return orders.withColumn("parsed", parse_date(F.col("written")))
+    return orders.withColumn("parsed", parse_date("written"))
 
 
 @register(
@@ -239,7 +238,7 @@ def _(spark, sf_dir):
     from events""",
 )
 def _(spark, sf_dir):
-    third = F.when(F.col("value") >= 1, F.col("props"))
+    third = "case when value >= 1 then props end"
     return read(spark, sf_dir, "events").select(
         "event_id", surrogate_key("user_id", "event_type", third).alias("sk")
     )
@@ -462,7 +461,7 @@ def _(spark, sf_dir):
 
 @register("gold_data_quality_metrics", GOLD_METRICS)
 def _(spark, sf_dir):
-    return metrics.gold_metrics(exact_sums(gold_of(spark, sf_dir)))
+    return metrics.gold_metrics(ExactSums(gold_of(spark, sf_dir)))
 
 
 @register(
@@ -510,12 +509,12 @@ def _(spark, sf_dir):
     where row_count = 0""",
 )
 def _(spark, sf_dir):
-    events = read(spark, sf_dir, "events")
+    base = Base(spark, sf_dir)
     return checks.empty_tables(
         {
-            "sales_transactions": raw_table(spark, sf_dir, "sales_transactions"),
-            "customers": raw_table(spark, sf_dir, "customers"),
-            "refunds": events.filter(F.col("event_type") == "refund"),
+            "sales_transactions": raw_table(base, "sales_transactions"),
+            "customers": raw_table(base, "customers"),
+            "refunds": base["events"].filter(F.col("event_type") == "refund"),
         }
     )
 
@@ -601,7 +600,7 @@ def _(spark, sf_dir):
     "from fact_recipe_components group by all having ratio_sum not between 0.999 and 1.001",
 )
 def _(spark, sf_dir):
-    gold = exact_sums(gold_of(spark, sf_dir))
+    gold = ExactSums(gold_of(spark, sf_dir))
     return checks.recipe_ratio_sums_not_one(gold["fact_recipe_components"])
 
 
@@ -853,7 +852,7 @@ MARTS: dict[str, tuple[Mart, str]] = {
 def _register_mart(name: str, mart: Mart, sql: str) -> None:
     @register(f"mart_{name}", sql)
     def _(spark, sf_dir):
-        return mart(exact_sums(gold_of(spark, sf_dir)))
+        return mart(ExactSums(gold_of(spark, sf_dir)))
 
 
 for _name, (_mart, _sql) in MARTS.items():
@@ -863,7 +862,7 @@ for _name, (_mart, _sql) in MARTS.items():
 @register("mart_metric_report", f"{SILVER_METRICS} union all {GOLD_METRICS}")
 def _(spark, sf_dir):
     silver = metrics.silver_metrics(Silver(spark, sf_dir))
-    gold = metrics.gold_metrics(exact_sums(gold_of(spark, sf_dir)))
+    gold = metrics.gold_metrics(ExactSums(gold_of(spark, sf_dir)))
     return marts.metric_report(silver.unionByName(gold))
 
 
@@ -879,7 +878,7 @@ TWICE_SOLD = f"""
 @register("rebuilt_top_countries", TWICE_SOLD)
 def _(spark, sf_dir):
     warehouse = rebuilt_warehouse(spark, sf_dir)
-    return marts.top_countries(exact_sums(rebuild.read_gold(warehouse)))
+    return marts.top_countries(ExactSums(rebuild.read_gold(warehouse)))
 
 
 @register(
