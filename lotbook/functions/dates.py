@@ -17,8 +17,8 @@ MONTH_NAME = f"^{WHITESPACE}[0-9]{{1,2}}-[A-Za-z]{{3}}-[0-9]{{1,2}}{WHITESPACE}$
 SHORT_YEAR = f"^{WHITESPACE}[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{1,2}}{WHITESPACE}$"
 LONG_YEAR = f"^{WHITESPACE}[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{3,4}}{WHITESPACE}$"
 
-MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
-FIRST_SHORT_YEAR_OF_1900S = 69
+MONTHS = "jan,feb,mar,apr,may,jun,jul,aug,sep,oct,nov,dec"
+FIRST_SHORT_YEAR = 1969  # two digits name a year from here on
 
 
 def parse_date(column: str) -> Column:
@@ -35,17 +35,22 @@ def date_sql(column: str) -> str:
     """
     first, second, third = _parts(column, "/")
     head, middle, tail = _parts(column, "-")
+    # Outer spaces are gone once a part is a number; the leading zeros keep short years literal.
+    first, third, head = (f"cast({part} as int)" for part in (first, third, head))
+    short = f"{FIRST_SHORT_YEAR} + pmod({{}} - {FIRST_SHORT_YEAR}, 100)"
+    # A month name that is none gives month 0, which no calendar has.
+    month = f"find_in_set(lower({middle}), '{MONTHS}')"
     return f"""case
         when {column} rlike '{YEAR_FIRST}'
-            then {_day(_whole(head), _whole(middle), _whole(tail))}
+            then try_cast(regexp_replace({column}, '^{WHITESPACE}', '000') as date)
         when {column} rlike '{MONTH_NAME}'
-            then {_day(_full_year(tail), _month(middle), _whole(head))}
+            then {_day(short.format(f"cast({tail} as int)"), month, head)}
         when {column} rlike '{SHORT_YEAR}' then coalesce(
-            {_day(_full_year(third), _whole(first), _whole(second))},
-            {_day(_whole(third), _whole(second), _whole(first))})
+            {_day(short.format(third), first, second)},
+            {_day(f"'000', {third}", second, first)})
         when {column} rlike '{LONG_YEAR}' then coalesce(
-            {_day(_whole(third), _whole(second), _whole(first))},
-            {_day(_whole(third), _whole(first), _whole(second))})
+            {_day(f"'000', {third}", second, first)},
+            {_day(f"'000', {third}", first, second)})
         end"""
 
 
@@ -56,19 +61,4 @@ def _parts(column: str, mark: str) -> tuple[str, str, str]:
 
 
 def _day(year: str, month: str, day: str) -> str:
-    return f"try_cast(concat(lpad({year}, 4, '0'), '-', {month}, '-', {day}) as date)"
-
-
-def _whole(part: str) -> str:
-    return f"cast({part} as int)"  # tolerates the outer spaces
-
-
-def _full_year(part: str) -> str:
-    number = _whole(part)
-    return f"if({number} < {FIRST_SHORT_YEAR_OF_1900S}, 2000, 1900) + {number}"
-
-
-def _month(name: str) -> str:
-    # An unknown name gives a month no calendar has, so that the cast returns null.
-    place = f"locate(lower({name}), '{MONTHS}')"
-    return f"if({place} % 3 = 1, ({place} + 2) div 3, 0)"
+    return f"try_cast(concat({year}, '-', {month}, '-', {day}) as date)"
