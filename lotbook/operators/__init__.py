@@ -1,4 +1,10 @@
-from lotbook.operators.lookups import asof_version, exact_version, named_members, value_lookup
+from lotbook.operators.lookups import (
+    asof_version,
+    exact_version,
+    named_members,
+    own_version,
+    value_lookup,
+)
 from lotbook.operators.reshape import slots_to_rows
 from lotbook.operators.values import value_dimension
 from lotbook.operators.versions import (
@@ -13,6 +19,7 @@ __all__ = [
     "exact_version",
     "latest_per_key",
     "named_members",
+    "own_version",
     "slots_to_rows",
     "value_dimension",
     "value_lookup",

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotbook.functions import surrogate_key
 from lotbook.operators.versions import slice_of, slice_width
 
 # With so few versions per key, testing each of them is cheaper than a second pass.
@@ -45,6 +46,17 @@ def exact_version(
     return df.join(found, on, how).drop("_salt")
 
 
+def own_version(key: str, sk: str, version: str = "batch_number") -> Column:
+    """The key under which a row's own dimension holds it, without a join.
+
+    A dimension built from these very rows holds each of their (key, version) pairs, and its
+    surrogate key is a function of the pair. The lookup would shuffle both sides to find what
+    the row already says. As in a join, a missing key or version finds nothing.
+    """
+    known = F.col(key).isNotNull() & F.col(version).isNotNull()
+    return F.when(known, surrogate_key(key, version)).alias(sk)
+
+
 def asof_version(
     df: DataFrame,
     dim: DataFrame,

@@ -12,6 +12,7 @@ from lotbook.operators import (
     asof_version,
     exact_version,
     named_members,
+    own_version,
     slots_to_rows,
     value_lookup,
 )
@@ -42,11 +43,9 @@ def fact_sales_transactions(sales: DataFrame, gold: Tables) -> DataFrame:
 
 
 def fact_provider_ingredient_stock(ingredients: DataFrame, gold: Tables) -> DataFrame:
+    """One row per stock row. The ingredient dimension is built from the same rows."""
     keyed = exact_version(
-        ingredients, gold["dim_ingredient"], "ingredient_id", {"ingredient_sk": "ingredient_sk"}
-    )
-    keyed = exact_version(
-        keyed,
+        ingredients.select("*", own_version("ingredient_id", "ingredient_sk")),
         gold["dim_provider"],
         "provider_id",
         {"provider_sk": "provider_sk", "country_sk": "provider_country_sk"},
@@ -62,15 +61,15 @@ def fact_recipe_components(
     recipes: DataFrame, gold: Tables, span: int | None = None
 ) -> DataFrame:
     """Up to three rows per recipe row: one per filled slot whose component has a version not
-    later than the recipe's batch.
+    later than the recipe's batch. A recipe without id or batch has no dimension row and gives
+    none.
 
-    The recipe key is resolved before the slots become rows, and the three component
-    dimensions are stacked, so each lookup runs once rather than once per slot. ``span`` bounds
-    the batches a component can have.
+    The recipe dimension is built from the same rows. The three component dimensions are
+    stacked, so the slots need one lookup, not one each. ``span`` bounds the batches a component
+    can have.
     """
-    keyed = exact_version(
-        recipes, gold["dim_recipe"], "recipe_id", {"recipe_sk": "recipe_sk"}, how="inner"
-    )
+    keyed = recipes.select("*", own_version("recipe_id", "recipe_sk"))
+    keyed = keyed.filter(F.col("recipe_sk").isNotNull())
     slots = {kind: (f"{kind}_id", f"{kind}_ratio") for kind in COMPONENTS}
     rows = slots_to_rows(
         keyed,

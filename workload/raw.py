@@ -148,7 +148,8 @@ RECIPES = Load(
         "heat_process": "case when l_returnflag = 'N' then '  ' else l_returnflag || ' ' end",
         "yield": text("2 * l_quantity + 1"),
         "generation_date": slash_date("l_shipdate"),
-        "batch_number": text("year(l_shipdate) - 1994"),
+        "batch_number": "case when l_quantity = 49 and l_returnflag = 'A' then ' ' "
+        f"else {text('year(l_shipdate) - 1994')} end",
     },
     stamp="cast(l_shipdate as timestamp)",
 )

@@ -323,6 +323,16 @@ def _(spark, sf_dir):
     return _lookup(spark, sf_dir, exact_version, "user_id", spread=4, spread_by=["event_id"])
 
 
+@register(
+    "exact_lookup_inner",
+    f"""
+    select {LOOKED_UP} from (select {EVENT_COLUMNS} from events where event_type = 'purchase') p
+    join ({VIEW_VERSIONS}) v using (user_id, day)""",
+)
+def _(spark, sf_dir):
+    return _lookup(spark, sf_dir, exact_version, "user_id", how="inner")
+
+
 ASOF_SQL = f"""
     select {LOOKED_UP} from (select {EVENT_COLUMNS} from events where event_type = 'purchase') p
     asof join ({VIEW_VERSIONS}) v on p.user_id = v.user_id and p.day >= v.day"""
@@ -741,11 +751,11 @@ MARTS: dict[str, tuple[Mart, str]] = {
         group by provider_name, s.batch_number""",
     ),
     "recipe_constituents": (
-        lambda gold: marts.recipe_constituents(gold, "R5-1", 1),
+        lambda gold: marts.recipe_constituents(gold, "R46-4", 4),
         """
         select recipe_id, batch_number, component_type, component_id, component_name,
                cast(cast(component_ratio as decimal(18, 4)) as double) as component_ratio
-        from named_components where recipe_id = 'R5-1' and batch_number = 1""",
+        from named_components where recipe_id = 'R46-4' and batch_number = 4""",
     ),
     "component_importance": (
         marts.component_importance,
