@@ -1,8 +1,9 @@
 """Resolving foreign keys against dimensions.
 
-No lookup hints a broadcast: Catalyst broadcasts a dimension when its measured size is below
-the threshold, and AQE does so from real shuffle sizes. Beyond that the join sorts and merges,
-and AQE splits the partitions of hot keys.
+A dimension is broadcast by hint only when the caller has counted it (``dim_rows``) and it is
+small. An uncounted one is left to Catalyst's size threshold where only the dimension can be
+broadcast; where the rows could be broadcast instead (inner joins), whose size Catalyst does not
+know, the join sorts and merges. AQE splits the partitions of hot keys in such joins.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from lotbook.operators.versions import slice_of, slice_width
 
 # With so few versions per key, testing each of them is cheaper than a second pass.
 FEW_VERSIONS = 64
+# Counted dimensions up to here are broadcast: some 100 bytes a row, so well below 100 MB.
+BROADCAST_ROWS = 500_000
 
 
 def exact_version(
@@ -27,6 +30,7 @@ def exact_version(
     take: Mapping[str, str],
     version: str = "batch_number",
     how: str = "left",
+    dim_rows: int | None = None,
     spread: int = 1,
     spread_by: Sequence[str] = (),
 ) -> DataFrame:
@@ -43,6 +47,7 @@ def exact_version(
         df = df.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(spread)))
         salts = F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))
         found = found.withColumn("_salt", F.explode(salts))
+    df, found = _with_strategy(df, found, how, dim_rows)
     return df.join(found, on, how).drop("_salt")
 
 
@@ -64,6 +69,7 @@ def asof_version(
     take: Mapping[str, str],
     version: str = "batch_number",
     span: int | None = None,
+    dim_rows: int | None = None,
 ) -> DataFrame:
     """Add columns of the newest dimension version not later than the row's own version.
 
@@ -80,8 +86,8 @@ def asof_version(
             F.col("valid_to_batch").alias("_ends"),
             *(F.col(old).alias(new) for old, new in take.items()),
         )
-        left = df.alias("_row")
-        right = ranges.alias("_range")
+        df, ranges = _with_strategy(df, ranges, "inner", dim_rows)
+        left, right = df.alias("_row"), ranges.alias("_range")
         at = F.col(f"_row.{version}")
         met = [F.col(f"_row.{k}") == F.col(f"_range.{k}") for k in key]
         valid = (starts <= at) & (ends.isNull() | (at <= ends))
@@ -89,9 +95,18 @@ def asof_version(
         return joined.select("_row.*", *take.values())
 
     pairs = _resolve_pairs(df.select(*key, version), dim, key, take, version, span)
+    df, pairs = _with_strategy(df, pairs, "inner", None)
     return df.join(pairs, [*key, version], "inner")
 
 
+def _with_strategy(
+    df: DataFrame, found: DataFrame, how: str, dim_rows: int | None
+) -> tuple[DataFrame, DataFrame]:
+    if dim_rows is not None and dim_rows <= BROADCAST_ROWS:
+        return df, F.broadcast(found)
+    return (df.hint("merge"), found) if how == "inner" else (df, found)
+
+
 def _resolve_pairs(
     wanted: DataFrame,
     dim: DataFrame,

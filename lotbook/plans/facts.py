@@ -58,7 +58,7 @@ def fact_provider_ingredient_stock(ingredients: DataFrame, gold: Tables) -> Data
 
 
 def fact_recipe_components(
-    recipes: DataFrame, gold: Tables, span: int | None = None
+    recipes: DataFrame, gold: Tables, span: int | None = None, dim_rows: int | None = None
 ) -> DataFrame:
     """Up to three rows per recipe row: one per filled slot whose component has a version not
     later than the recipe's batch. A recipe without id or batch has no dimension row and gives
@@ -66,7 +66,7 @@ def fact_recipe_components(
 
     The recipe dimension is built from the same rows. The three component dimensions are
     stacked, so the slots need one lookup, not one each. ``span`` bounds the batches a component
-    can have.
+    can have, ``dim_rows`` the rows of the three dimensions together.
     """
     keyed = recipes.select("*", own_version("recipe_id", "recipe_sk"))
     keyed = keyed.filter(F.col("recipe_sk").isNotNull())
@@ -95,6 +95,7 @@ def fact_recipe_components(
         ["component_type", "component_id"],
         {"component_sk": "component_sk"},
         span=span,
+        dim_rows=dim_rows,
     )
     own_key = surrogate_key("recipe_sk", "component_type", "component_sk", VERSION)
     return resolved.withColumn("recipe_component_sk", own_key).select(

@@ -10,6 +10,7 @@ from lotbook.operators import version_span
 from lotbook.plans import dimensions, facts
 from lotbook.plans.conform import conform
 from lotbook.plans.entities import (
+    COMPONENTS,
     ENTITIES,
     GOLD_SCHEMAS,
     SILVER_METRICS_SCHEMA,
@@ -75,8 +76,9 @@ def rebuild_gold(warehouse: Warehouse) -> None:
     gold["fact_provider_ingredient_stock"] = build(
         "fact_provider_ingredient_stock", stock, VERSION
     )
-    widest = max(spans[e] for e in ("raw_materials", "flavours", "ingredients"))
-    components = facts.fact_recipe_components(silver["recipes"], gold, widest)
+    widest = max(spans[VERSIONED[dim]] for dim in COMPONENTS.values())
+    counted = sum(gold[dim].count() for dim in COMPONENTS.values())  # from the files' footers
+    components = facts.fact_recipe_components(silver["recipes"], gold, widest, counted)
     gold["fact_recipe_components"] = build("fact_recipe_components", components, VERSION)
     build(GOLD_METRICS, gold_metrics(gold))
 
