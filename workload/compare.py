@@ -34,8 +34,6 @@ def difference(spark, con, sf_dir: str, name: str) -> tuple[int, str]:
     df = query.run(spark, sf_dir)
     columns = sorted(df.columns)
     ours = Counter(tuple(row[c] for c in columns) for row in df.collect())
-    if query.sql is None:
-        return ours.total(), ""
     result = con.execute(query.sql)
     names = [d[0] for d in result.description]
     if sorted(names) != columns:

@@ -164,16 +164,17 @@ STEPS = (
 )
 
 
-def query(body: str) -> str:
+def query(body: str, **changed: str) -> str:
     """Prefix a query with the steps it names, directly or through other steps."""
     needed: list[str] = []
+    steps = STEPS | changed
 
     def visit(sql: str) -> None:
         for word in dict.fromkeys(re.findall(r"\w+", sql)):
-            if word in STEPS and word not in needed:
-                visit(STEPS[word])
+            if word in steps and word not in needed:
+                visit(steps[word])
                 needed.append(word)
 
     visit(body)
-    steps = ", ".join(f"{name} as ({STEPS[name]})" for name in needed)
-    return f"with {steps} {body}" if needed else body
+    prefix = ", ".join(f"{name} as ({steps[name]})" for name in needed)
+    return f"with {prefix} {body}" if needed else body

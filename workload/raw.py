@@ -158,7 +158,7 @@ SALES = Load(
     {
         "transaction_id": text("o_orderkey"),
         "customer_id": text("o_custkey"),
-        "flavour_id": text("o_orderkey % 50"),
+        "flavour_id": text("o_orderkey % 50"),  # few flavours, so that each is hot
         "quantity_liters": text("day(o_orderdate) - 2"),
         "amount_dollar": text("o_totalprice"),
         "transaction_date": day_first_date("o_orderdate"),
