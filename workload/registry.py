@@ -343,7 +343,7 @@ ASOF_SQL = f"""
 @register("asof_lookup", ASOF_SQL)
 def _(spark, sf_dir):
     span = version_span(_events(spark, sf_dir, "view"), "day")
-    return _lookup(spark, sf_dir, asof_version, ["user_id"], span=span)
+    return _lookup(spark, sf_dir, asof_version, ["user_id"], span, span=span)
 
 
 @register("asof_lookup_sliced", ASOF_SQL)
@@ -351,8 +351,8 @@ def _(spark, sf_dir):
     return _lookup(spark, sf_dir, asof_version, ["user_id"])
 
 
-def _lookup(spark, sf_dir, lookup, on, **options) -> DataFrame:
-    versions = _user_versions(_events(spark, sf_dir, "view"), None)
+def _lookup(spark, sf_dir, lookup, on, versions_span=None, **options) -> DataFrame:
+    versions = _user_versions(_events(spark, sf_dir, "view"), versions_span)
     purchases = _events(spark, sf_dir, "purchase").select("event_id", "user_id", "day")
     take = {"sk": "view_sk", "value": "view_value"}
     return lookup(purchases, versions, on, take, version="day", **options).select(
