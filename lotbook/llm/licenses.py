@@ -149,8 +149,8 @@ def _templates(templates: tuple[tuple[str, str], ...], least: float) -> Template
 def find_licenses(text: str, templates: Templates) -> list[tuple[str, float, int, int]]:
     """(license, Dice, start, end) of the passages that match, by start.
 
-    A passage is a paragraph (lines without a blank one between), or else each of its lines by
-    itself. Offsets are code points, the end exclusive.
+    A passage is each line by itself, or a paragraph (lines without a blank one between) where
+    that fits better than any of its lines. Offsets are code points, the end exclusive.
     """
     if not templates.possible(text):
         return []
@@ -160,15 +160,16 @@ def find_licenses(text: str, templates: Templates) -> list[tuple[str, float, int
         if not templates.possible(block):
             continue
         lines = block.splitlines(keepends=True)
-        whole = templates.best(normalised(block)) if len(lines) > 1 else None
-        if whole:
-            found.append((*whole, start, start + len(block.rstrip())))
-            continue
+        hits, at = [], start
         for line in lines:
             if templates.possible(line) and (hit := templates.best(normalised(line))):
                 lead = len(line) - len(line.lstrip())
-                found.append((*hit, start + lead, start + len(line.rstrip())))
-            start += len(line)
+                hits.append((*hit, at + lead, at + len(line.rstrip())))
+            at += len(line)
+        whole = templates.best(normalised(block)) if len(lines) > 1 else None
+        if whole and whole[1] > max((h[1] for h in hits), default=0.0):
+            hits = [(*whole, start, start + len(block.rstrip()))]
+        found += hits
     return found
 
 
