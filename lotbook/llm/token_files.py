@@ -4,6 +4,7 @@ for the end-of-document id."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,20 @@ END_ID = 49407
 BLOCK_TOKENS = 1 << 20
 #: Documents per file: the reader takes files of at most 2 GB.
 FILE_DOCUMENTS = 100_000
+#: Documents that a Python worker holds at a time, with their ids.
+BATCH_DOCUMENTS = 1_000
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows while a job runs."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), rows) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def write_token_files(
@@ -44,9 +59,10 @@ def write_token_files(
 
     separator = END_ID.to_bytes(2, "little").decode("latin-1")
     flat = docs.select(encoded(text_of()).cast("string").alias("value"))
-    flat.write.options(
-        lineSep=separator, encoding="ISO-8859-1", maxRecordsPerFile=file_documents
-    ).text(path)
+    with batch_rows(docs.sparkSession, BATCH_DOCUMENTS):
+        flat.write.options(
+            lineSep=separator, encoding="ISO-8859-1", maxRecordsPerFile=file_documents
+        ).text(path)
 
 
 def block_ends(tokens: np.ndarray, end_id: int, block: int) -> Iterator[tuple[int, np.ndarray]]:
