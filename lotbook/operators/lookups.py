@@ -96,7 +96,8 @@ def asof_version(
 
     pairs = _resolve_pairs(df.select(*key, version), dim, key, take, version, span)
     df, pairs = _with_strategy(df, pairs, "inner", None)
-    return df.join(pairs, [*key, version], "inner")
+    # The row's own columns in their order, then the taken ones, whichever way they were found.
+    return df.join(pairs, [*key, version], "inner").select(*df.columns, *take.values())
 
 
 def _with_strategy(
@@ -161,9 +162,18 @@ def _resolve_pairs(
 def value_lookup(
     df: DataFrame, dim: DataFrame, name: Column, dim_name: str, sk: str, into: str
 ) -> DataFrame:
-    """Add the key of a folded value; null where the value is missing or unknown."""
-    found = dim.select(F.col(dim_name).alias("_name"), F.col(sk).alias(into))
-    return df.withColumn("_name", name).join(found, "_name", "left").drop("_name")
+    """Add the key of a folded value; null where the value is missing or unknown.
+
+    Missing values match nothing, so each such row gets a side key of its own: in a merge join
+    they would otherwise all meet in one task.
+    """
+    found = dim.select(
+        F.col(dim_name).alias("_name"), F.lit(0).cast("bigint").alias("_side"), F.col(sk).alias(into)
+    )
+    known = found.filter(F.col("_name").isNotNull())
+    side = F.when(F.col("_name").isNull(), F.xxhash64(*df.columns)).otherwise(F.lit(0))
+    named = df.withColumn("_name", name).withColumn("_side", side.cast("bigint"))
+    return named.join(known, ["_name", "_side"], "left").drop("_name", "_side")
 
 
 def named_members(members: Mapping[str, tuple[DataFrame, Sequence[str]]], label: str,

@@ -28,8 +28,13 @@ def empty_tables(tables: Tables) -> DataFrame:
     return counts.filter(F.col("row_count") == 0)
 
 
+def absent(name: str) -> Column:
+    """Null, or text that is blank: raw tables hold text, where a blank is no value."""
+    return F.nullif(F.trim(F.col(name).cast("string")), F.lit("")).isNull()
+
+
 def rows_without_version(tables: Tables, version: str = VERSION) -> DataFrame:
-    counts = _per_table(tables, F.count_if(F.col(version).isNull()).alias("bad_rows"))
+    counts = _per_table(tables, F.count_if(absent(version)).alias("bad_rows"))
     return counts.filter(F.col("bad_rows") > 0)
 
 
@@ -79,9 +84,11 @@ def keys_not_current_once(dim: DataFrame, key: str) -> DataFrame:
     return dim.groupBy(key).agg(current).filter(F.col("_current") != 1).select(key)
 
 
-def null_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Columns that hold nulls and how many rows; all columns in one pass."""
-    counts = df.agg(*(F.count_if(F.col(n).isNull()).alias(n) for n in names))
+def null_counts(df: DataFrame, names: Sequence[str], blanks: bool = False) -> DataFrame:
+    """Columns that hold nulls and how many rows; all columns in one pass. With ``blanks``, blank
+    text counts as null, as it should in raw tables."""
+    missing = absent if blanks else lambda n: F.col(n).isNull()
+    counts = df.agg(*(F.count_if(missing(n)).alias(n) for n in names))
     cells = [c for n in names for c in (F.lit(n), F.col(n))]
     rows = counts.select(F.stack(F.lit(len(names)), *cells).alias("column_name", "null_rows"))
     return rows.filter(F.col("null_rows") > 0)

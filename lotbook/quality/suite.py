@@ -128,7 +128,7 @@ DIMENSION_KEYS = {
 def violations(layer: str, tables: Tables) -> dict[str, DataFrame]:
     """Every check of a layer by name, as the frame of what breaks it."""
     found = {
-        f"{layer}.{table}.not_null": checks.null_counts(tables[table], names)
+        f"{layer}.{table}.not_null": checks.null_counts(tables[table], names, blanks=layer == "bronze")
         for table, names in NOT_NULL[layer].items()
     }
     return found | {"bronze": _bronze, "silver": _silver, "gold": _gold}[layer](tables)

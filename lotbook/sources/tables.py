@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,15 @@ class Warehouse:
         names = [part.split()[0] for part in schema.split(", ")]
         return self.spark.read.schema(schema).parquet(self.path(layer, table)).select(*names)
 
+    def columns(self, layer: str, table: str) -> list[str] | None:
+        """Stored columns, or None where nothing has been written yet."""
+        try:
+            return self.spark.read.parquet(self.path(layer, table)).columns
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+
     def append(self, layer: str, table: str, df: DataFrame, partition_by: str | None = None):
         writer = df.write.mode("append")
         if partition_by:

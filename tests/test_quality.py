@@ -66,3 +66,12 @@ def test_one_current(spark, rows):
         "k string, is_current boolean",
     )
     assert rows(checks.keys_not_current_once(df, "k")) == [("b",), ("c",)]
+
+
+def test_blank_batches_are_absent(spark):
+    df = spark.createDataFrame([(" ",), ("",), (None,), ("1",)], "batch_number string")
+    typed = spark.createDataFrame([(1,), (None,)], "batch_number bigint")
+    found = checks.rows_without_version({"raw": df, "typed": typed}).collect()
+    assert sorted((r.table_name, r.bad_rows) for r in found) == [("raw", 3), ("typed", 1)]
+    counts = lambda blanks: checks.null_counts(df, ["batch_number"], blanks).first()[1]
+    assert (counts(False), counts(True)) == (1, 3)

@@ -114,3 +114,36 @@ def test_partitioned_table_keeps_types_and_order(spark, warehouse, rows):
     back = warehouse.expose("gold", "t", "batch_number bigint, v string")
     assert back.dtypes == [("batch_number", "bigint"), ("v", "string")]
     assert rows(spark.sql("select * from gold_t")) == rows(df)
+
+
+def test_log_tells_drops_of_one_name_apart(spark, drops, warehouse, rows):
+    for folder, n in (("a", 1), ("b", 2)):
+        (drops / folder).mkdir()
+        lines = "".join(f"{i},x,5/5/24,1\n" for i in range(n))
+        (drops / folder / "raw_materials.csv").write_text(HEADER + lines)
+    load_raw(spark, f"{drops}/*/*.csv", warehouse)
+    assert rows(read_log(warehouse).select("source_file", "rows_loaded")) == [
+        ("raw_materials.csv", 1),
+        ("raw_materials.csv", 2),
+    ]
+
+
+def test_other_header_than_the_stored_one_fails(spark, drops, warehouse, rows):
+    (drops / "extra.csv").write_text("p,q\n1,x\n")
+    load_raw(spark, f"{drops}/*.csv", warehouse)
+    load_raw(spark, f"{drops}/*.csv", warehouse)
+    (drops / "extra.csv").write_text("p,r\n2,y\n")
+    with pytest.raises(ValueError, match="extra holds"):
+        load_raw(spark, f"{drops}/*.csv", warehouse)
+    assert rows(warehouse.read("bronze", "extra", "p string, q string")) == [("1", "x")] * 2
+
+
+def test_what_is_loaded_before_a_failure_is_logged(spark, drops, warehouse, rows):
+    flavours = "flavour_id,name,description,generation_date,batch_number\n1,f,d,5/5/24,1\n"
+    (drops / "a" ).mkdir()
+    (drops / "a" / "flavours.csv").write_text(flavours)
+    (drops / "b").mkdir()
+    (drops / "b" / "raw_materials.csv").write_text(HEADER + "1,a\n")
+    with pytest.raises(Exception):
+        load_raw(spark, f"{drops}/*/*.csv", warehouse)
+    assert rows(read_log(warehouse).select("source_file", "rows_loaded")) == [("flavours.csv", 1)]

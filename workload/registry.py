@@ -512,35 +512,30 @@ def _(spark, sf_dir):
 
 @register(
     "check_tables_not_empty",
-    """
-    select table_name, row_count from (
-        select 'sales_transactions' as table_name, count(*) as row_count
-        from raw_sales_transactions
-        union all select 'customers', count(*) from raw_customers
-        union all select 'refunds', count(*) from events where event_type = 'refund')
-    where row_count = 0""",
+    "select table_name, row_count from ("
+    + " union all ".join(
+        f"select '{e}' as table_name, count(*) as row_count from raw_{e}" for e in ENTITIES
+    )
+    + " union all select 'refunds', count(*) from events where event_type = 'refund')"
+    " where row_count = 0",
 )
 def _(spark, sf_dir):
     base = Base(spark, sf_dir)
-    return checks.empty_tables(
-        {
-            "sales_transactions": raw_table(base, "sales_transactions"),
-            "customers": raw_table(base, "customers"),
-            "refunds": base["events"].filter(F.col("event_type") == "refund"),
-        }
-    )
+    refunds = base["events"].filter(F.col("event_type") == "refund")
+    return checks.empty_tables({e: raw_table(base, e) for e in ENTITIES} | {"refunds": refunds})
 
 
 @register(
     "check_batch_present",
     " union all ".join(
-        f"select '{e}' as table_name, count(*) as bad_rows from s_{e} "
-        "where batch_number is null having count(*) > 0"
+        f"select '{e}' as table_name, count(*) as bad_rows from raw_{e} "
+        "where batch_number is null or trim(batch_number) = '' having count(*) > 0"
         for e in ENTITIES
     ),
 )
 def _(spark, sf_dir):
-    return checks.rows_without_version(Silver(spark, sf_dir))
+    base = Base(spark, sf_dir)
+    return checks.rows_without_version({e: raw_table(base, e) for e in ENTITIES})
 
 
 def _register_unique(entity: str, nk: str) -> None:
