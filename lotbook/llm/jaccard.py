@@ -7,7 +7,7 @@ above, tile by tile; sorted-array intersection decides. Hashes of 64 bits stand
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -81,8 +81,8 @@ def set_key(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """Hashed bits of a set: two to four for each shingle, up to a most; one size per band."""
-    bits = min(max(64, 1 << (2 * len(shingles) - 1).bit_length()), _MOST_BITS)
+    """Hashed bits of a set: four to eight for each shingle, up to a most; one size per band."""
+    bits = min(max(64, 1 << (4 * len(shingles) - 1).bit_length()), _MOST_BITS)
     flags = np.zeros(bits, dtype=np.uint8)
     flags[shingles & (bits - 1)] = 1
     return np.packbits(flags, bitorder="little")
@@ -343,7 +343,7 @@ def tile_pairs(
     key: np.ndarray,
     component: np.ndarray,
     block: np.ndarray,
-    bits: np.ndarray,
+    bits: list[np.ndarray],
     partners: int | None,
 ) -> np.ndarray:
     """Pairs of keys (rows of two) of one tile that size band and bitmaps do not rule out.
@@ -353,6 +353,12 @@ def tile_pairs(
     """
     crossed = (block != block[0]).any()
     found = [np.zeros((0, 2), np.int64)]
+    # Bitmaps of a band and of the next one (partners lie in these two), folded to the band's.
+    width = np.array([x.shape[1] for x in bits])
+    bands = {}
+    for size in np.unique(width):
+        start, end = np.searchsorted(width, size), np.searchsorted(width, 2 * size, side="right")
+        bands[size] = start, np.concatenate([fold_bits(x, size) for x in bits[start:end]])
     for i in range(len(n) - 1):
         # The size band: partners further on are no more than a quarter larger.
         end = np.searchsorted(n, 5 * n[i] // 4, side="right")
@@ -360,17 +366,24 @@ def tile_pairs(
         at = at[component[at] != component[i]]
         if crossed:
             at = at[block[at] != block[i]]
-        apart = np.bitwise_count(bits[at] ^ bits[i]).sum(1)
+        start, rows = bands[width[i]]
+        apart = np.bitwise_count(rows[at - start] ^ rows[i - start]).sum(1)
         at = at[apart <= (n[at] + n[i]) // 9][:partners]
         found.append(np.stack([np.full(len(at), key[i]), key[at]], 1))
     return np.sort(np.concatenate(found), axis=1)
 
 
 def open_pairs(
-    star: DataFrame, classes: DataFrame, component: DataFrame, partners: int | None
+    star: DataFrame,
+    classes: DataFrame,
+    component: DataFrame,
+    pick: Callable | None = None,
+    partners: int | None = None,
 ) -> DataFrame:
     """Pairs of sets that share a prefix shingle, lie in different components so far, and are
-    not ruled out by size band or bitmap; with ``partners`` only so many for each set and tile.
+    not ruled out by size band or bitmap. With ``pick`` (least or greatest) each set stays with
+    one of its shingles, where near copies mostly meet, and with ``partners`` it tries only so
+    many sets there.
 
     Groups whose members are all connected are done, and those of two have been compared. The
     others are cut into tiles: members go to blocks by a hash, and each pair of blocks is a tile,
@@ -391,8 +404,14 @@ def open_pairs(
         .filter("low <> high and size > 2")
         .select("shingle", "size")
     )
+    open_members = placed.join(mixed.hint("merge"), "shingle")
+    if pick is not None:
+        open_members = open_members.groupBy("key", "component").agg(
+            pick(F.struct("shingle", "size")).alias("own")
+        )
+        open_members = open_members.select("key", "component", "own.*")
     rows = (
-        tiled(placed.join(mixed.hint("merge"), "shingle"), "shingle", "key", F.col("size"), TILE_ROWS)
+        tiled(open_members, "shingle", "key", F.col("size"), TILE_ROWS)
         .join(classes.select("key", "n", "bits").hint("merge"), "key")
         .select("tile", "n", "key", "component", "block", "bits")
         .repartition("tile")
@@ -405,10 +424,8 @@ def open_pairs(
             bits = [np.frombuffer(x, np.uint8)[None] for x in part.column(5).to_pylist()]
             pairs = [np.zeros((0, 2), np.int64)]
             for at in group_slices(tile):
-                least = min(x.shape[1] for x in bits[at])
-                folded = np.concatenate([fold_bits(x, least) for x in bits[at]])
                 pairs.append(
-                    tile_pairs(n[at], key[at], component[at], block[at], folded, partners)
+                    tile_pairs(n[at], key[at], component[at], block[at], bits[at], partners)
                 )
             found = np.unique(np.concatenate(pairs), axis=0)
             yield _rows(a=pa.array(found[:, 0].copy()), b=pa.array(found[:, 1].copy()))
@@ -441,15 +458,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     star = written(stars(known, common_shingles(known)), "stars")
 
     def check(pairs: DataFrame) -> DataFrame:
-        near = written(near_pairs(pairs.distinct(), classes), "near-pairs")
-        return written(verified(near, classes, known), "jaccard-links")
+        return written(verified(written(pairs, "near-pairs"), classes, known), "jaccard-links")
 
-    links = check(star.select("a", "b"))
+    links = check(near_pairs(star.select("a", "b").distinct(), classes))
     reached = components(links)
     # A few partners first: in a large group of near copies nearly every set finds a link among
     # them, so that few are left for the comparison with all.
-    for partners in (FIRST_PARTNERS, None):
-        more = check(open_pairs(star, classes, reached, partners))
+    for pick, partners in ((F.min, FIRST_PARTNERS), (F.max, FIRST_PARTNERS), (None, None)):
+        more = check(open_pairs(star, classes, reached, pick, partners).distinct())
         if not more.isEmpty():
             links = links.unionByName(more)
             reached = components(links)
