@@ -33,7 +33,8 @@ class WordTokenizer:
         letters = map(chr, range(0xDF, 0x100))
         self._spelling = {ord(c): spelt.pre_tokenize_str(c)[0][0] for c in letters}
         self._marks = {
-            mark: self._tokenizer.encode(mark, add_special_tokens=False).ids for mark in ("", ".", ",")
+            mark: array("I", self._tokenizer.encode(mark, add_special_tokens=False).ids).tobytes()
+            for mark in ("", ".", ",")
         }
         self._merge = self._tokenizer.model.tokenize
         self._young: dict[str, bytes] = {}
@@ -50,30 +51,34 @@ class WordTokenizer:
             else:
                 missing.append(part)
         for start in range(0, len(missing), 4096):
-            batch = missing[start : start + 4096]
-            for part, done in zip(batch, self._encode(batch), strict=True):
-                young[part] = array("I", done).tobytes()
+            self._encode(missing[start : start + 4096])
         found = [b"".join(map(young.__getitem__, part)) for part in parts]
         if len(young) > CACHE_WORDS // 2:
             self._old, self._young = young, {}
         return found
 
-    def _encode(self, parts: list[str]) -> list[list[int]]:
+    def _encode(self, parts: list[str]) -> None:
         """Plain words go to the merges directly, each with its closing mark's ids behind; the
-        tokenizer's own steps would only lower their case and spell their bytes."""
-        plain = [_PLAIN.fullmatch(part) for part in parts]
-        others = [part for part, found in zip(parts, plain, strict=True) if not found]
-        encoded = iter(self._tokenizer.encode_batch_fast(others, add_special_tokens=False))
-        ids = []
-        for found in plain:
-            if found is None:
-                ids.append(next(encoded).ids)
+        tokenizer's own steps would only lower their case and spell their bytes. The bare word is
+        kept too, so that its other cases and marks need no merges."""
+        young, old, merge = self._young, self._old, self._merge
+        others = []
+        for part in parts:
+            found = _PLAIN.fullmatch(part)
+            if not found:
+                others.append(part)
                 continue
             word, mark = found.groups()
             word = word.lower()
-            word = word if word.isascii() else word.translate(self._spelling)
-            ids.append([*map(_ID, self._merge(word)), *self._marks[mark]])
-        return ids
+            ids = young.get(word) or old.get(word)
+            if ids is None:
+                spelt = word if word.isascii() else word.translate(self._spelling)
+                ids = array("I", map(_ID, merge(spelt))).tobytes()
+            young[word] = ids
+            young[part] = ids + self._marks[mark]
+        encoded = self._tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        for part, done in zip(others, encoded, strict=True):
+            young[part] = array("I", done.ids).tobytes()
 
 
 @lru_cache(maxsize=2)
