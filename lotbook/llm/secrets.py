@@ -30,16 +30,30 @@ WINDOW = 20
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _CLASSES = (
     (re.compile(r"[0-9a-fA-F]+"), 3.0),
+    (re.compile(r"[a-z]+|[A-Z]+"), 3.2),
     (re.compile(r"[A-Za-z0-9]+"), 3.7),
     (re.compile(r"[A-Za-z0-9+/_=-]+"), 3.9),
 )
-#: High-entropy strings that are no secrets: UUIDs, paths of words, words joined by marks, and
-#: plain or capitalised words without a digit.
-ALLOWED = (
-    r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-    r"[A-Za-z]+([/_=+-]+[A-Za-z]*)*",
-    r"[/_=+-]*([A-Za-z]+|[0-9]{1,8})([/_=+-]+([A-Za-z]+|[0-9]{1,8}))*[/_=+-]*",
+#: High-entropy strings that are no secrets: UUIDs.
+ALLOWED = (r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",)
+#: Words and short numbers joined by marks, paths for one. Each mark run has one place to match, so
+#: the time is linear. Such strings are secrets only where their letters do not look like words.
+_WORDS = re.compile(
+    r"[/_=+-]*(?:[A-Za-z]+|[0-9]{1,8})(?:[/_=+-]+(?:[A-Za-z]+|[0-9]{1,8}))*[/_=+-]*"
 )
+# Letter pairs that make up most of English, German, French and Spanish words, about
+# a quarter of all pairs. Of a random string's pairs a quarter is among them.
+_PAIRS = frozenset(
+    """th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve
+    co me de hi ri ro ic ne ea ra ce li ch ll be ma si om ur ca el ta la ns di fo ho pe ec pr no ct
+    us ac ot il tr ly nc et ut ss so rs un lo wa ge ie wh ee wi em ad ol rt po we na ul ni ts mo ow
+    pa im mi ai sh ir su id os iv ia am fi ci vi pl ig tu ev ld ry mp fe bl ab gh ty op wo sa ay ex
+    ke fr oo av ag if ap gr od bo sp rd do uc bu ei ov rm ep tt oc fa ef cu rn sc gi da cr cl qu ue
+    va um au ck ht tz pf eu ux oi ze zu uf ah ez ja lt br ru""".split()
+)
+#: Least share of a window's letter pairs that are such pairs in words, and letter pairs that a
+#: window must hold to be told from words.
+_WORDLIKE, _TOLD = 0.6, WINDOW // 2
 
 Span = tuple[int, int, str]
 
@@ -70,8 +84,8 @@ def base_spans(text: str) -> list[Span]:
 _TERM = [0.0, 0.0] + [c * math.log2(c) for c in range(2, WINDOW + 1)]
 
 
-def hot_windows(run: str, least: float) -> tuple[int, int] | None:
-    """First start and last end of the windows whose entropy reaches ``least`` bits.
+def hot_starts(run: str, least: float) -> Iterator[int]:
+    """Starts of the windows whose entropy reaches ``least`` bits.
 
     Counts change by one character in and one out per step, so a run costs its length, not its
     length times the window.
@@ -79,7 +93,6 @@ def hot_windows(run: str, least: float) -> tuple[int, int] | None:
     window = WINDOW
     counts: dict[str, int] = {}
     total = 0.0  # the sum of c * log2(c) over the window's characters
-    first = last = None
     for i, char in enumerate(run):
         if i >= window:
             old = run[i - window]
@@ -89,9 +102,27 @@ def hot_windows(run: str, least: float) -> tuple[int, int] | None:
         total += _TERM[count + 1] - _TERM[count]
         counts[char] = count + 1
         if i >= window - 1 and math.log2(window) - total / window >= least - 1e-9:
-            first = i - window + 1 if first is None else first
-            last = i + 1
-    return None if first is None else (first, last)
+            yield i - window + 1
+
+
+def hot_windows(run: str, least: float) -> tuple[int, int] | None:
+    """First start and last end of the windows whose entropy reaches ``least`` bits."""
+    starts = list(hot_starts(run, least))
+    return (starts[0], starts[-1] + WINDOW) if starts else None
+
+
+def odd_starts(run: str) -> Iterator[int]:
+    """Starts of the windows whose letter pairs are not those of words."""
+    low = run.lower()
+    pairs, common = [0], [0]
+    for pair in map("".join, zip(low, low[1:])):  # noqa: B905
+        pairs.append(pairs[-1] + pair.isalpha())
+        common.append(common[-1] + (pair in _PAIRS))
+    for start in range(len(run) - WINDOW + 1):
+        end = start + WINDOW - 1
+        told = pairs[end] - pairs[start]
+        if told >= _TOLD and common[end] - common[start] < _WORDLIKE * told:
+            yield start
 
 
 def entropy_spans(text: str, allowed: re.Pattern) -> list[Span]:
@@ -99,11 +130,16 @@ def entropy_spans(text: str, allowed: re.Pattern) -> list[Span]:
     spans: list[Span] = []
     for candidate in _CANDIDATE.finditer(text):
         run = candidate.group()
-        if run.isalpha() or allowed.fullmatch(run):
+        if allowed.fullmatch(run):
             continue
         least = next(bits for members, bits in _CLASSES if members.fullmatch(run))
-        if found := hot_windows(run, least):
-            spans.append((candidate.start() + found[0], candidate.start() + found[1], "entropy"))
+        starts = list(hot_starts(run, least))
+        if starts and _WORDS.fullmatch(run):
+            odd = set(odd_starts(run))
+            starts = [s for s in starts if s in odd]
+        if starts:
+            at = candidate.start()
+            spans.append((at + starts[0], at + starts[-1] + WINDOW, "entropy"))
     return spans
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -199,6 +200,32 @@ def test_secret_scan(spark, docs, empty):
     assert secrets.secret_spans(empty).collect() == []
 
 
+def test_mark_runs_are_scanned_in_linear_time():
+    allow = secrets._allow(secrets.ALLOWED)
+    start = time.perf_counter()
+    for mark in "-=_/+":
+        for text in ("Chapter" + mark * 100_000 + "5", "a" + mark * 100_000 + "123456789"):
+            assert secrets.find_spans(text, allow)[1] == []
+        mixed = "a" + (mark * 3 + "b") * 25_000 + "1"
+        assert secrets.find_spans(mixed, allow)[1] == []
+    assert time.perf_counter() - start < 30
+
+
+def test_random_letters_are_no_words():
+    allow = secrets._allow(secrets.ALLOWED)
+    for key in ("qXvZrKtPwLmJbNxCgHfDsYuW", "zqxjkvbwpfmghtrdlcnsyzqk", "QZXJKVBWPFMGHTRDLCNSY"):
+        assert secrets.find_spans(f"x {key} y", allow)[1] == [(2, 2 + len(key), "entropy")]
+        ((start, end, kind),) = secrets.find_spans(f"some/path/{key}/2024", allow)[1]
+        assert kind == "entropy" and start <= 10 and end >= 10 + len(key)
+    for harmless in (
+        "Donaudampfschifffahrtsgesellschaft",
+        "AbstractSingletonProxyFactoryBean",
+        "src/main/java/com/example/services/customer_repository",
+        "anticonstitutionnellement-et-autres-mots/2024",
+    ):
+        assert secrets.find_spans(harmless, allow)[1] == []
+
+
 def plain_licenses(text):
     """Every paragraph and line against every template, without any bound."""
     best = []
