@@ -5,7 +5,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -125,35 +126,56 @@ def odd_starts(run: str) -> Iterator[int]:
             yield start
 
 
-def entropy_spans(text: str, allowed: re.Pattern) -> list[Span]:
-    """Candidate strings scanned with the bar of the narrowest character class they fit."""
+def hot_stretches(run: str, allowed: re.Pattern) -> Iterator[tuple[int, int]]:
+    """Start and end of what the hot windows of a string cover, windows that meet together, with
+    the bar of the narrowest character class that the string fits."""
+    if len(run) < WINDOW or allowed.fullmatch(run):
+        return
+    least = next(bits for members, bits in _CLASSES if members.fullmatch(run))
+    starts = list(hot_starts(run, least))
+    if starts and _WORDS.fullmatch(run):
+        odd = set(odd_starts(run))
+        starts = [s for s in starts if s in odd]
+    for i, start in enumerate(starts):
+        if i == 0 or start > starts[i - 1] + WINDOW:
+            first = start
+        if i + 1 == len(starts) or starts[i + 1] > start + WINDOW:
+            yield first, start + WINDOW
+
+
+def entropy_spans(text: str, allowed: re.Pattern, base: Iterable[Span] = ()) -> list[Span]:
+    """The hot stretches of candidate strings; of those that base spans touch, of what is left
+    beside them. ``base`` is in the order of the starts."""
     spans: list[Span] = []
+    taken = list(base)
+    first = 0
     for candidate in _CANDIDATE.finditer(text):
-        run = candidate.group()
-        if allowed.fullmatch(run):
+        at, close = candidate.span()
+        if allowed.fullmatch(candidate.group()):
             continue
-        least = next(bits for members, bits in _CLASSES if members.fullmatch(run))
-        starts = list(hot_starts(run, least))
-        if starts and _WORDS.fullmatch(run):
-            odd = set(odd_starts(run))
-            starts = [s for s in starts if s in odd]
-        if starts:
-            at = candidate.start()
-            spans.append((at + starts[0], at + starts[-1] + WINDOW, "entropy"))
+        # Later candidates meet no base span that ends before this one.
+        while first < len(taken) and taken[first][1] <= at:
+            first += 1
+        rest = []
+        for start, end, _ in islice(taken, first, None):
+            if start >= close:
+                break
+            if start > at:
+                rest.append((at, start))
+            at = max(at, end)
+        if at < close:
+            rest.append((at, close))
+        for a, b in rest:
+            spans += [(a + s, a + e, "entropy") for s, e in hot_stretches(text[a:b], allowed)]
     return spans
 
 
 def find_spans(text: str, allowed: re.Pattern) -> tuple[list[Span], list[Span]]:
-    """(base spans, all spans), each by start, then kind. An entropy span that a base span
-    touches adds nothing and is left out."""
+    """(base spans, all spans), each by start, then kind. Entropy spans are looked for beside the
+    base spans, so none touches one."""
     order = lambda span: (span[0], KINDS.index(span[2]))
     base = sorted(base_spans(text), key=order)
-    extra = [
-        span
-        for span in entropy_spans(text, allowed)
-        if not any(span[0] < end and start < span[1] for start, end, _ in base)
-    ]
-    return base, sorted(base + extra, key=order)
+    return base, sorted(base + entropy_spans(text, allowed, base), key=order)
 
 
 def _allow(patterns: tuple[str, ...]) -> re.Pattern:
