@@ -15,7 +15,7 @@ from lotbook.llm.common import Words, chunked, fold, text_of, training_rows
 
 #: Labelled documents that the model is fitted on, at most about this many.
 TRAIN_ROWS = 4_000
-#: Lines of one training document that are fitted; scoring always takes all lines.
+#: Lines of a training document on average, at most about; fitting and scoring take all its lines.
 TRAIN_LINES = 200
 LEAST_SCORE = 0.3
 _STEPS, _ROUNDS, _L2 = 100, 3, 1e-4
@@ -245,12 +245,25 @@ def calibrate(share: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 # --- on tables -------------------------------------------------------------------------------
 
 
+def within(documents: list[tuple[int, int, int]], lines: int) -> set[int]:
+    """Ids of the first whole documents, (id, label, lines) each, that hold ``lines`` lines, and
+    more of them until both labels are met."""
+    taken: set[int] = set()
+    met: set[int] = set()
+    for number, label, n in documents:
+        if lines > 0 or label not in met or number in taken:
+            taken.add(number)
+            met.add(label)
+            lines -= n
+    return taken
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Chain:
     """The chain learnt from labelled documents outside the held-out fold.
 
-    Fitted on the driver from line features, at most about ``train_rows`` documents with
-    ``TRAIN_LINES`` lines each: 16 numbers a line. Without labels of both kinds every document
-    is called good.
+    Fitted on the driver from line features, 16 numbers a line, of whole documents: at most about
+    ``train_rows``, and fewer if they have more than ``TRAIN_LINES`` lines on average. Without
+    labels of both kinds every document is called good.
     """
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -258,19 +271,25 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
             texts = batch["text"].tolist()
             for a, b in chunked(texts):
                 rows, size, doc = line_features(texts[a:b])
-                place = np.arange(len(doc)) - np.searchsorted(doc, doc)
-                keep = place < TRAIN_LINES
-                cut = np.searchsorted(doc[keep], np.arange(1, b - a))
+                cut = np.searchsorted(doc, np.arange(1, b - a))
                 yield pd.DataFrame(
                     {
                         "id": batch["id"].to_numpy()[a:b],
                         "label": batch["label"].to_numpy()[a:b],
-                        "rows": [x.astype("<f4").tobytes() for x in np.split(rows[keep], cut)],
-                        "size": [x.astype("<f4").tobytes() for x in np.split(size[keep], cut)],
+                        "rows": [x.astype("<f4").tobytes() for x in np.split(rows, cut)],
+                        "size": [x.astype("<f4").tobytes() for x in np.split(size, cut)],
                     }
                 )
 
     sample = training_rows(docs, labels, "quality", train_rows)
+    length = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
+    # By the hash that the sample is drawn by, so that fewer are a sample of it.
+    ranked = sample.select("id", "label", length.alias("n"), F.xxhash64("id").alias("at"))
+    lengths = sorted(ranked.collect(), key=lambda r: (r["at"], r["id"]))
+    taken = within([(r["id"], r["label"], r["n"]) for r in lengths], TRAIN_LINES * train_rows)
+    if len(taken) < len({r["id"] for r in lengths}):
+        kept = docs.sparkSession.createDataFrame([(i,) for i in sorted(taken)], "id long")
+        sample = sample.join(F.broadcast(kept), "id", "left_semi")
     found = sample.mapInPandas(features, "id long, label int, rows binary, size binary")
     # In the order of the ids, so that a run again fits the same numbers.
     bags = sorted(found.collect(), key=lambda r: (r["id"], r["rows"]))

@@ -98,6 +98,23 @@ def test_held_out_accuracy(spark, scored, label):
     assert again == {r.doc_id: r.score for r in rows.collect()}
 
 
+def test_quality_is_learnt_from_whole_documents(spark):
+    good = "The town has a new hall, and its people meet there.\n"
+    bad = "CLICK >>> $$$ 99 !!! | | buy $$$ 12 >>>\n"
+    rows = [(i, good * 210 + (bad if i % 2 else good) * 300) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i, _ in rows], "doc_id long, quality int")
+    found = quality.quality_scores(docs, labels).filter("held_out").collect()
+    assert found and all(r.predicted == 1 - r.doc_id % 2 for r in found)
+
+
+def test_sample_is_bounded_by_whole_documents():
+    documents = [(5, 1, 30), (2, 1, 80), (9, 1, 10), (7, 0, 500), (5, 1, 30), (3, 0, 4)]
+    assert quality.within(documents, 100) == {5, 2, 7}
+    assert quality.within(documents, 10_000) == {2, 3, 5, 7, 9}
+    assert quality.within([], 100) == set()
+
+
 @pytest.mark.parametrize("scored", [toxicity.toxicity_scores, quality.quality_scores])
 def test_odd_rows(spark, scored):
     labels = table(spark, SF, "labels").withColumn("text", F.lit("clash"))
