@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,6 +18,31 @@ from lotbook.llm.common import text_of
 #: Least Dice coefficient of a match.
 LEAST = 0.8
 
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: 1. Redistributions of source code must retain "
+    "the above copyright notice, this list of conditions and the following disclaimer. 2. "
+    "Redistributions in binary form must reproduce the above copyright notice, this list of "
+    "conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution. "
+)
+_NO_ENDORSEMENT = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written "
+    "permission. "
+)
+_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS "
+    "OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+    "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND "
+    "ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+    "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED "
+    "OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
 # Notices and grants of public licenses, in their published wording.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
@@ -70,9 +97,48 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "of the GNU General Public License as published by the Free Software Foundation, either "
         "version 3 of the License, or (at your option) any later version.",
     ),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version.",
+    ),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License version 2 as published by the Free Software "
+        "Foundation.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-3.0",
+        "This library is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If "
+        "a copy of the MPL was not distributed with this file, You can obtain one at "
+        "http://mozilla.org/MPL/2.0/.",
+    ),
+    ("BSD-2-Clause", _BSD + _DISCLAIMER),
+    ("BSD-3-Clause", _BSD + _NO_ENDORSEMENT + _DISCLAIMER),
 )
 
 _WORD = re.compile(r"[a-z0-9]+(?:[.][0-9]+)*")
+_CLOSING = re.compile(r"[.,;:!?)\]\"'>]*")
 _PARAGRAPH = re.compile(r"(?:[^\n]*\S[^\n]*(?:\n|\Z))+")
 
 
@@ -96,6 +162,16 @@ class Templates:
             if grams:
                 known.setdefault(grams, (name, grams))
         self.all = sorted(known.values(), key=lambda t: (len(t[1]), t[0], sorted(t[1])))
+        self.index: dict[tuple[str, str], list[int]] = {}
+        for k, (_, grams) in enumerate(self.all):
+            for gram in grams:
+                self.index.setdefault(gram, []).append(k)
+        words: dict[frozenset, int] = {}
+        for _, text in templates:
+            found = normalised(text)
+            words.setdefault(frozenset(bigrams(found)), len(found))
+        #: Words of the longest window for each template.
+        self.longest = [int(words[g] * (2 - least) / least) for _, g in self.all]
         self.largest = max((len(g) for _, g in self.all), default=0) * (2 - least) / least
         self.anchors = sorted(self._anchors())
         self._anchor = re.compile(
@@ -173,6 +249,79 @@ def find_licenses(text: str, templates: Templates) -> list[tuple[str, float, int
     return found
 
 
+def _folded(text: str) -> str:
+    """Lower case, character by character where that alone keeps the offsets."""
+    low = text.lower()
+    if len(low) == len(text):
+        return low
+    return "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def windows(words: list[str], templates: Templates) -> Iterator[tuple[float, int, str, int, int]]:
+    """(Dice, bigrams, license, first word, last word): for each template and each word that may
+    start a match, the window that fits best.
+
+    A window starts and ends with bigrams of the template, as others at its ends only lower the
+    coefficient. It counts as many bigrams as the template at least, so that a notice of another
+    version does not match by its beginning alone.
+    """
+    grams = list(zip(words, words[1:]))  # noqa: B905
+    places: dict[int, list[int]] = {}
+    for i, gram in enumerate(grams):
+        for k in templates.index.get(gram, ()):
+            places.setdefault(k, []).append(i)
+    for k, at in places.items():
+        name, wanted = templates.all[k]
+        needed = max(1, math.ceil(templates.least * len(wanted) - 1e-9))
+        reach = templates.longest[k] - 1
+        for n in range(len(at) - needed + 1):
+            start = at[n]
+            if at[n + needed - 1] >= start + reach:
+                continue
+            seen: set[tuple[str, str]] = set()
+            common, found = 0, None
+            for i in range(start, min(start + reach, len(grams))):
+                gram = grams[i]
+                if gram in seen:
+                    continue
+                seen.add(gram)
+                if gram in wanted:
+                    common += 1
+                    dice = 2 * common / (max(len(seen), len(wanted)) + len(wanted))
+                    if dice >= templates.least and (found is None or dice > found[0]):
+                        found = dice, len(seen), name, start, i + 1
+            if found:
+                yield found
+
+
+def find_passages(text: str, templates: Templates) -> list[tuple[str, float, int, int]]:
+    """(license, Dice, start, end) of the passages that match, by start: lines, paragraphs, and
+    windows of words anywhere in the text, whatever its line breaks.
+
+    Of passages that overlap the best stays: by the coefficient, and the longer one if that is
+    about the same.
+    """
+    if not templates.possible(text):
+        return []
+    hits = []
+    for name, dice, start, end in find_licenses(text, templates):
+        size = len(bigrams(normalised(text[start:end])))
+        hits.append((-(dice**4) * size, 0, start, end, name, dice))
+    low = _folded(text)
+    spans = [m.span() for m in _WORD.finditer(low)]
+    words = [low[a:b] for a, b in spans]
+    for dice, size, name, first, last in windows(words, templates):
+        end = _CLOSING.match(text, spans[last][1]).end()
+        hits.append((-(dice**4) * size, 1, spans[first][0], end, name, dice))
+    chosen: list[tuple[int, int, str, float]] = []
+    for _, _, start, end, name, dice in sorted(hits):
+        place = bisect_left(chosen, (start,))
+        before = place == 0 or chosen[place - 1][1] <= start
+        if before and (place == len(chosen) or end <= chosen[place][0]):
+            chosen.insert(place, (start, end, name, dice))
+    return [(name, dice, start, end) for start, end, name, dice in chosen]
+
+
 def scan(
     text: Column,
     templates: tuple[tuple[str, str], ...] = TEMPLATES,
@@ -187,7 +336,7 @@ def scan(
         for texts in batches:
             yield pd.Series(
                 [
-                    [dict(zip(names, hit, strict=True)) for hit in find_licenses(t or "", known)]
+                    [dict(zip(names, hit, strict=True)) for hit in find_passages(t or "", known)]
                     for t in texts
                 ],
                 dtype=object,

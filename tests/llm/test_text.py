@@ -278,3 +278,23 @@ def test_licenses_equal_the_plain_version(spark, docs, empty):
     assert (rows[6].licenses, rows[6].best_dice, rows[6].spans) == ("MIT", 1.0, "MIT:0:31")
     assert (rows[0].n_matches, rows[0].licenses, rows[0].best_dice) == (0, "", None)
     assert licenses.license_matches(empty).collect() == []
+
+
+def test_licenses_anywhere_in_a_text():
+    known = licenses.Templates(licenses.TEMPLATES, licenses.LEAST)
+    names = lambda t: [h[0] for h in licenses.find_passages(t, known)]
+    around = "some other words that stand here without any meaning at all " * 6
+    for name, text in licenses.TEMPLATES:
+        for whole in (text, around + text + " " + around):
+            assert names(whole) == [name], (name, whole)
+        half = len(text.split()) // 2
+        wrapped = " ".join(text.split()[:half]) + "\n" + " ".join(text.split()[half:])
+        assert names(around + "\n" + around + wrapped + " " + around + "\n" + around) == [name]
+    both = f"{around}Released under the MIT License. {around}Licensed under CC BY 4.0. {around}"
+    found = licenses.find_passages(both, known)
+    assert [both[a:b] for _, _, a, b in found] == [
+        "Released under the MIT License.",
+        "Licensed under CC BY 4.0.",
+    ]
+    assert names(f"{around}Licensed under CC BY 3.0. {around}") == []
+    assert names("\u0130" * 9 + around + "Released under the MIT License.") == ["MIT"]
