@@ -158,14 +158,25 @@ def viterbi(noisy: str, model: np.ndarray) -> str:
     return max(closed)[1]
 
 
-# Single characters spelt out with a gap between each, at least four of them.
-_SPELT = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*~]{1,2}[^\W_]){3,}(?![^\W_])")
+_LEET_CLASS = re.escape("".join(c for c in LEET if not c.isdigit()))
+_ITEM = rf"[^\W_{_LEET_CLASS}]|[{_LEET_CLASS}]"
+# Single characters, or symbols that stand for one, spelt out with a gap between each, at least
+# three of them.
+_SPELT = re.compile(
+    rf"(?<![^\W_])(?:{_ITEM})(?:[ .\-_*~]{{1,2}}(?:{_ITEM})){{2,}}(?![^\W_])"
+)
 #: What every such run holds; it starts with a gap, so most of a text is passed over quickly.
-_MAYBE_SPELT = re.compile(r"[ .\-_*~]{1,2}[^\W_][ .\-_*~]{1,2}[^\W_][ .\-_*~]")
+_MAYBE_SPELT = re.compile(
+    rf"[ .\-_*~]{{1,2}}(?:{_ITEM})[ .\-_*~]{{1,2}}(?:{_ITEM})(?![^\W_])"
+)
 # A word with a digit or mark among its letters, a gap inside, or a letter three times over.
 _INSIDE = re.compile(r"[^\W\d_][0-9@$!|+€£¢(*.\-_~']+[^\W\d_]|[0-9@$!|+€£¢(*]+[^\W\d_]{2}")
+#: A letter and a digit or symbol that may stand for one, next to each other.
+_BESIDE = re.compile(rf"[^\W\d_][0-9{_LEET_CLASS}]|[0-9{_LEET_CLASS}][^\W\d_]")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _EDGE = " \t\n\r\"'.,;:?!#%&*$()[]{}<>|/\\~=+-_"
+#: Marks at the edge that never stand for a letter.
+_PLAIN_EDGE = "".join(c for c in _EDGE if c not in LEET)
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -192,9 +203,16 @@ class Restorer:
         """The text in lower case with spelt-out runs read as words."""
         folded = text.lower()
         if _MAYBE_SPELT.search(folded):
-            folded = _SPELT.sub(lambda m: " " + self.decode(m.group()) + " ", folded)
+            folded = _SPELT.sub(self._unspelt, folded)
         return folded
 
+    def _unspelt(self, run: re.Match) -> str:
+        """The reading of a run; marks and a few digits without a letter are tables and sums."""
+        noisy = run.group()
+        if not _LETTERS.search(noisy) and sum(map(str.isalnum, noisy)) < 4:
+            return noisy
+        return " " + self.decode(noisy) + " "
+
     def words(self, part: str) -> tuple[str, ...]:
         """Letter runs of one white-space delimited part in lower case, restored if it looks
         noisy. Any other part has one reading, itself."""
@@ -207,6 +225,18 @@ class Restorer:
             return tuple(_LETTERS.findall(self.decode(front)))
         return tuple(_LETTERS.findall(core))
 
+    def readings(self, part: str) -> tuple[str, ...]:
+        """The words of a part, and those it has if digits and symbols at its edges may stand for
+        letters as well as be punctuation or numbers: the channel may still read them as
+        themselves."""
+        words = self.words(part)
+        loose = part.strip(_PLAIN_EDGE)
+        if loose.startswith("(") and ")" in part:
+            loose = loose.lstrip("(")
+        if not _BESIDE.search(loose):
+            return words
+        return tuple(dict.fromkeys([*words, *_LETTERS.findall(self.decode(loose))]))
+
     def restore(self, text: str) -> str:
         """The whole text with noisy words and spelt-out runs replaced by their readings."""
         return " ".join(" ".join(self.words(part)) for part in self.unspelt(text).split())
@@ -265,7 +295,7 @@ class ToxicityModel:
     def _log_clean(self, part: str) -> float:
         """log of the probability that a part of the restored text is harmless."""
         worst = 0.0
-        for word in self.restorer().words(part):
+        for word in self.restorer().readings(part):
             if not self._head.match(word):
                 continue
             worst = max(worst, self._whole.get(word, 0.0))
@@ -301,7 +331,7 @@ class DocumentFeatures:
         found: set[str] = set()
         for part in set(self._restorer.unspelt(text).split()):
             if part not in self._kept:
-                words = self._restorer.words(part)
+                words = self._restorer.readings(part)
                 self._kept[part] = tuple({f for word in words for f in features(word)})
             found.update(self._kept[part])
         return found

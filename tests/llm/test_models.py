@@ -37,6 +37,27 @@ def test_restored_words():
     assert "idiot" in restore("x " * 300 + "i.d.i.o.t")
 
 
+def test_symbols_are_restored_wherever_they_stand():
+    stock = "idiot kill hate loser stupid crap zealot goblin evil lobo fiesta bastard cretin magic"
+    model = toxicity.log_model(toxicity.trigram_counts([stock + " and, some. of the (rest)! hate! evil!"] * 9))
+    restorer = toxicity.Restorer(model)
+    for noisy in ("idi07", "1d107", "idio+", "!diot", "id!ot", "|diot"):
+        assert "idiot" in restorer.readings(noisy), noisy
+    for word in stock.split():
+        for symbol, letters in toxicity.LEET.items():
+            for at in (i for i, c in enumerate(word) if c in letters):
+                noisy = word[:at] + symbol + word[at + 1 :]
+                # A closing exclamation mark may be one.
+                if symbol != "!" or at + 1 < len(word):
+                    assert word in restorer.readings(noisy), (word, noisy)
+                spelt = restorer.unspelt("so " + " ".join(noisy) + " there")
+                assert spelt.split() == ["so", word, "there"], (word, noisy)
+    assert restorer.unspelt("h a g").split() == ["hag"]
+    assert restorer.unspelt("1 2 3, | + | 4") == "1 2 3, | + | 4"
+    for clean in ("hate!", "(rap)", "kill,", "evil."):
+        assert restorer.readings(clean) == tuple(toxicity._LETTERS.findall(clean)), clean
+
+
 def test_learn_ignores_words_of_copies():
     copies = [(7, ["odd ", "bad "])] * 9
     others = [(i, ["bad "]) for i in range(20, 30)]
