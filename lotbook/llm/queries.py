@@ -11,12 +11,16 @@ from pyspark.sql import functions as F
 from lotbook.llm import (
     ann,
     bpe,
+    hard_negatives,
     jaccard,
     lattice,
     licenses,
+    oracle,
     packing,
     quality,
+    resampling,
     secrets,
+    sharding,
     token_files,
     toxicity,
 )
@@ -76,8 +80,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: No SQL: each needs a tokenizer, a model or hashing that the SQL engine lacks, or is a search
-#: whose answer is found, not exact. ``tests/llm`` compares each with a brute-force version.
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row carries the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(
+        table(spark, sf_dir, "embeddings").withColumn("label", label)
+    )
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,6 +111,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_embedding_near_dedup,
         op9_license_scan,
         op10_quality,
+        op11_hard_negatives,
+        op12_resampling,
+        op13_sharding,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+#: The others have no SQL: each needs a tokenizer, a model or hashing that the SQL engine lacks, or
+#: is a search whose answer is found, not exact. ``tests/llm`` compares each with brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op11_hard_negatives": oracle.HARD_NEGATIVES,
+    "op12_resampling": oracle.RESAMPLING,
+}
