@@ -10,6 +10,7 @@ from lotbook.operators.values import value_dimension
 from lotbook.operators.versions import (
     latest_per_key,
     version_span,
+    version_spans,
     versioned_dimension,
     with_next_version,
 )
@@ -24,6 +25,7 @@ __all__ = [
     "value_dimension",
     "value_lookup",
     "version_span",
+    "version_spans",
     "versioned_dimension",
     "with_next_version",
 ]

@@ -8,14 +8,18 @@ know, the join sorts and merges. AQE splits the partitions of hot keys in such j
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotbook.functions import surrogate_key
-from lotbook.operators.versions import slice_of, slice_width
+from lotbook.session import written
 
 # With so few versions per key, testing each of them is cheaper than a second pass.
 FEW_VERSIONS = 64
@@ -75,8 +79,8 @@ def asof_version(
 
     Rows without such a version are dropped. ``span`` is a proven bound on versions per key:
     when it is small, each row is tested against the validity range of its key's few versions.
-    Otherwise that would meet every version of a hot key with every row of it, so the distinct
-    (key, version) pairs are resolved first, and the rows join the resolved pairs by equality.
+    Otherwise that would meet every version of a hot key with every row of it, so rows and versions
+    are put in one order and the last version is carried along; that runs when it is called.
     """
     if span is not None and span <= FEW_VERSIONS:
         starts, ends = F.col("_starts"), F.col("_ends")
@@ -94,10 +98,8 @@ def asof_version(
         joined = left.join(right, reduce(Column.__and__, met, valid), "inner")
         return joined.select("_row.*", *take.values())
 
-    pairs = _resolve_pairs(df.select(*key, version), dim, key, take, version, span)
-    df, pairs = _with_strategy(df, pairs, "inner", None)
     # The row's own columns in their order, then the taken ones, whichever way they were found.
-    return df.join(pairs, [*key, version], "inner").select(*df.columns, *take.values())
+    return _carry(df, dim, key, take, version).select(*df.columns, *take.values())
 
 
 def _with_strategy(
@@ -108,55 +110,139 @@ def _with_strategy(
     return (df.hint("merge"), found) if how == "inner" else (df, found)
 
 
-def _resolve_pairs(
-    wanted: DataFrame,
+def asof_marks(
+    df: DataFrame,
     dim: DataFrame,
     key: Sequence[str],
     take: Mapping[str, str],
-    version: str,
-    span: int | None,
+    version: str = "batch_number",
 ) -> DataFrame:
-    """(key, version) -> dimension columns, by carrying the last version along each key's axis.
+    """Versions and rows together, in ranges of (key, version), versions first.
 
-    The axis is cut into slices so that no task holds a whole key; a slice starts with the last
-    version of the slices before it.
+    The ranges may part the rows of one key, and by a hash of the row even those of one version,
+    so none of them grows with a hot key.
     """
-    keys_known = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*key, version)])
-    part = slice_of(version, slice_width(span)).alias("_slice")
-    hit = F.struct(*(F.col(old).alias(new) for old, new in take.items())).alias("_hit")
-    versions = dim.filter(keys_known).select(*key, part, version, hit, F.lit(0).alias("_asks"))
-    asked = (
-        wanted.filter(keys_known)
-        .distinct()
-        .select(*key, part, version, F.lit(None).alias("_hit"), F.lit(1).alias("_asks"))
+    known = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*key, version)])
+    keys = [F.col(k).alias(f"_key{i}") for i, k in enumerate(key)]
+    at = F.col(version).alias("_at")
+    hit = F.struct(*(F.col(old).alias(new) for old, new in take.items()))
+    row = F.struct(*df.columns)
+    kind = df.select(row.alias("r")).schema["r"].dataType
+    versions = dim.filter(known).select(
+        *keys,
+        at,
+        F.lit(0).alias("_asks"),
+        F.lit(0).cast("bigint").alias("_spread"),
+        hit.alias("_hit"),
+        F.lit(None).cast(kind).alias("_row"),
     )
-    marks = versions.unionByName(asked)
-
-    offered = F.when(F.col("_asks") == 0, F.col(version))
-    slices = marks.groupBy(*key, "_slice").agg(F.max_by("_hit", offered).alias("_tail"))
-    before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1
+    asked = df.filter(known).select(
+        *keys,
+        at,
+        F.lit(1).alias("_asks"),
+        F.xxhash64(*df.columns).alias("_spread"),
+        F.lit(None).cast(versions.schema["_hit"].dataType).alias("_hit"),
+        row.alias("_row"),
     )
-    carried = slices.select(
-        *key,
-        "_slice",
-        F.lit(None).cast("bigint").alias(version),
-        F.last("_tail", ignorenulls=True).over(before).alias("_hit"),
-        F.lit(0).alias("_asks"),
-    ).filter(F.col("_hit").isNotNull())
+    order = [*(f"_key{i}" for i in range(len(key))), "_at", "_asks", "_spread"]
+    return versions.unionByName(asked).repartitionByRange(*order).sortWithinPartitions(*order)
 
-    so_far = (
-        Window.partitionBy(*key, "_slice")
-        .orderBy(F.col(version).asc_nulls_first(), "_asks")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    answer = F.last("_hit", ignorenulls=True).over(so_far)
-    return (
-        marks.unionByName(carried)
-        .withColumn("_hit", answer)
-        .filter((F.col("_asks") == 1) & F.col("_hit").isNotNull())
-        .select(*key, version, "_hit.*")
+
+def carried(marks: DataFrame, keys: int) -> DataFrame:
+    """Each asking row of ``marks`` with the last version of its key in its partition, and a row
+    per partition with the state at its end.
+
+    ``_first``: the row has the first key of its partition and no version before it there, so it
+    may belong to one in an earlier partition.
+    """
+    names = [f"_key{i}" for i in range(keys)]
+    kinds = {f.name: f.dataType.simpleString() for f in marks.schema.fields}
+    out = [*names, "_asks", "_hit", "_row"]
+    schema = ", ".join(f"{c} {kinds[c]}" for c in out) + ", _first boolean, _part int"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        # The last row seen, with the version that holds there; whether a second key has come.
+        last: pa.RecordBatch | None = None
+        moved = False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            batch = batch.select(out)
+            start = 0 if last is None else 1
+            rows = batch if last is None else pa.concat_batches([last, batch])
+            n = rows.num_rows
+            fresh = np.zeros(n, dtype=bool)
+            for name in names:
+                cells = rows.column(name)
+                apart = pc.not_equal(cells.slice(1), cells.slice(0, n - 1))
+                fresh[1:] |= apart.to_numpy(zero_copy_only=False)
+            at = np.arange(n)
+            valid = rows.column("_hit").is_valid().to_numpy(zero_copy_only=False)
+            hit = np.maximum.accumulate(np.where(valid, at, -1))
+            known = hit >= np.maximum.accumulate(np.where(fresh, at, 0))
+            filled = rows.column("_hit").take(pa.array(hit, mask=~known))
+            first = ~known & ~(np.logical_or.accumulate(fresh) | moved)
+            done = pa.RecordBatch.from_arrays(
+                [
+                    *(rows.column(c) for c in (*names, "_asks")),
+                    filled,
+                    rows.column("_row"),
+                    pa.array(first),
+                    pa.array(np.full(n, part, np.int32)),
+                ],
+                names=[*out, "_first", "_part"],
+            )
+            asks = rows.column("_asks").to_numpy() == 1
+            asks[:start] = False
+            yield done.filter(pa.array(asks))
+            moved = moved or bool(fresh.any())
+            end = done.slice(n - 1)
+            last = end.select(out)
+        if last is not None:
+            state = {c: last.column(c) for c in (*names, "_hit")}
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(state[c] for c in names),
+                    pa.array([0], pa.int32()),
+                    state["_hit"],
+                    pa.nulls(1, last.schema.field("_row").type),
+                    pa.array([False]),
+                    pa.array([part], pa.int32()),
+                ],
+                names=[*out, "_first", "_part"],
+            )
+
+    return marks.mapInArrow(run, schema)
+
+
+def _carry(
+    df: DataFrame,
+    dim: DataFrame,
+    key: Sequence[str],
+    take: Mapping[str, str],
+    version: str,
+) -> DataFrame:
+    """Rows with their versions, by carrying the last version along ranges of (key, version).
+
+    One shuffle brings rows and versions together. The ranges are written before they are used,
+    as a range drawn again could be cut elsewhere; the state at their ends, one row each, then
+    goes on to the ranges behind.
+    """
+    marks = asof_marks(df, dim, key, take, version)
+    ranges = written(carried(marks, len(key)), "asof-ranges")
+    keys = F.struct(*(f"_key{i}" for i in range(len(key))))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    state = F.when(F.col("_hit").isNotNull(), F.struct(keys.alias("keys"), F.col("_hit").alias("hit")))
+    # One row per range. The last version at an end is that of the ranges behind while they hold
+    # its key.
+    ends = ranges.filter("_asks = 0").select(
+        "_part", F.last(state, ignorenulls=True).over(before).alias("_state")
     )
+    rows = ranges.filter("_asks = 1").join(F.broadcast(ends), "_part", "left")
+    earlier = F.when(F.col("_first") & (F.col("_state.keys") == keys), F.col("_state.hit"))
+    found = rows.withColumn("_hit", F.coalesce("_hit", earlier)).filter(F.col("_hit").isNotNull())
+    return found.select("_row.*", "_hit.*")
 
 
 def value_lookup(

@@ -11,8 +11,8 @@ whole natural key unless its size is proven:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from math import isqrt
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,18 +25,21 @@ SLICE_WIDTH = 65_536
 
 
 def version_span(df: DataFrame, version: str) -> int:
-    """Upper bound on the versions one key can have. Runs a one-column min/max scan."""
-    low, high = df.agg(F.min(version), F.max(version)).first()
-    return 0 if low is None else high - low + 2  # one more for a null version
+    """How many versions there are, a null one among them: the most that one key can have. Runs
+    a one-column scan; versions are told apart in the map tasks."""
+    return version_spans({"": df}, version)[""]
 
 
-def slice_width(span: int | None) -> int:
-    """Width that balances rows per slice against slices per key."""
-    return SLICE_WIDTH if span is None else isqrt(span) + 1
+def version_spans(tables: Mapping[str, DataFrame], version: str) -> dict[str, int]:
+    """:func:`version_span` of several tables in one job."""
+    arms = [df.select(F.lit(name).alias("name"), version) for name, df in tables.items()]
+    found = reduce(DataFrame.unionByName, arms).distinct().groupBy("name").count()
+    counts = {r["name"]: r["count"] for r in found.collect()}
+    return {name: counts.get(name, 0) for name in tables}
 
 
-def slice_of(version: str, width: int) -> Column:
-    return F.expr(f"`{version}` div {width}L")
+def slice_of(version: str) -> Column:
+    return F.expr(f"`{version}` div {SLICE_WIDTH}L")
 
 
 def latest_per_key(
@@ -69,7 +72,7 @@ def with_next_version(
     if span is not None and span <= VERSIONS_PER_TASK:
         return df.withColumn(into, F.lead(version).over(Window.partitionBy(key).orderBy(last_null)))
 
-    part = slice_of(version, slice_width(span))
+    part = slice_of(version)
     heads = (
         (df if versions_of is None else versions_of)
         .select(key, version)

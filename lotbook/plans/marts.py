@@ -1,7 +1,7 @@
 """Stakeholder answers over the gold tables.
 
-Money and ratios are summed in the type they have: DOUBLE columns give DOUBLE sums, whose last
-bits depend on the order of addition; DECIMAL columns give exact sums.
+Money and ratios are summed exactly and rounded once, whatever their type, so an answer has the
+same bits for any number of partitions.
 
 Sums are taken per surrogate key before the dimension is joined: a key's rows are added up in
 the map tasks, so a hot key costs one row per task, and the join sees one row per dimension
@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotbook.functions import outside, surrogate_key
+from lotbook.functions import ExactSum, outside, surrogate_key
 from lotbook.operators import named_members
 from lotbook.plans.entities import COMPONENTS, VERSION
 from lotbook.quality.metrics import (
@@ -54,12 +54,14 @@ def ingredients_per_provider(gold: Tables) -> DataFrame:
 
 
 def stock_value_per_provider(gold: Tables) -> DataFrame:
-    value = F.sum("stock_value_dollars").alias("_value")
-    per_key = gold["fact_provider_ingredient_stock"].groupBy("provider_sk", VERSION).agg(value)
+    stock = gold["fact_provider_ingredient_stock"]
+    value = ExactSum(stock, "stock_value_dollars")
+    per_key = stock.groupBy("provider_sk", VERSION).agg(*value.parts())
     return (
         per_key.join(gold["dim_provider"].select("provider_sk", "provider_name"), "provider_sk")
         .groupBy("provider_name", VERSION)
-        .agg(F.sum("_value").alias("total_stock_value_dollars"))
+        .agg(*value.merged())
+        .select("provider_name", VERSION, value.value().alias("total_stock_value_dollars"))
         .orderBy(*_down("total_stock_value_dollars"), *_up("provider_name", VERSION))
     )
 
@@ -98,20 +100,21 @@ def component_importance(gold: Tables, top: int = 50) -> DataFrame:
     Counted per component version first: a recipe version has one batch, hence resolves a
     component to one version, so no recipe is counted under two versions of a component.
     """
-    per_version = (
-        gold["fact_recipe_components"]
-        .groupBy("component_type", "component_id", "component_sk")
-        .agg(
-            F.count_distinct("recipe_sk").alias("_recipes"),
-            F.sum("component_ratio").alias("_ratio"),
-        )
+    components = gold["fact_recipe_components"]
+    ratio = ExactSum(components, "component_ratio")
+    per_version = components.groupBy("component_type", "component_id", "component_sk").agg(
+        F.count_distinct("recipe_sk").alias("_recipes"), *ratio.parts()
     )
     return (
         _with_component_names(per_version, gold)
         .groupBy("component_type", "component_id", "component_name")
-        .agg(
-            F.sum("_recipes").alias("recipes_using_component"),
-            F.sum("_ratio").alias("total_ratio_contribution"),
+        .agg(F.sum("_recipes").alias("recipes_using_component"), *ratio.merged())
+        .select(
+            "component_type",
+            "component_id",
+            "component_name",
+            "recipes_using_component",
+            ratio.value().alias("total_ratio_contribution"),
         )
         .orderBy(
             *_down("total_ratio_contribution", "recipes_using_component"),
@@ -125,27 +128,21 @@ def recipes_using(
     gold: Tables, batch_number: int, component_type: str, component_id: int
 ) -> DataFrame:
     """Recipes hit when one component is lost."""
-    hit = (
-        gold["fact_recipe_components"]
-        .filter(
-            (F.col(VERSION) == batch_number)
-            & (F.col("component_type") == component_type)
-            & (F.col("component_id") == component_id)
-        )
-        .select("recipe_sk")
-        .distinct()
+    hit = gold["fact_recipe_components"].filter(
+        (F.col(VERSION) == batch_number)
+        & (F.col("component_type") == component_type)
+        & (F.col("component_id") == component_id)
     )
+    # Of one batch the dimension holds an id once, so what is left of it is distinct.
     recipes = gold["dim_recipe"].filter(F.col(VERSION) == batch_number)
-    return (
-        recipes.join(hit, "recipe_sk").select("recipe_id").distinct().orderBy(*_up("recipe_id"))
-    )
+    found = recipes.join(hit.select("recipe_sk"), "recipe_sk", "left_semi")
+    return found.select("recipe_id").orderBy(*_up("recipe_id"))
 
 
 def top_customers(gold: Tables, top: int = 20) -> DataFrame:
+    sales = _sales_by(gold, "customer_sk", "dim_customer", "customer_name")
     return (
-        _sales_by(gold, "customer_sk", "dim_customer", "customer_name")
-        .groupBy("customer_name")
-        .agg(F.sum("_amount").alias("total_sales_usd"))
+        sales.select("customer_name", "total_sales_usd")
         .orderBy(*_down("total_sales_usd"), *_up("customer_name"))
         .limit(top)
     )
@@ -154,21 +151,15 @@ def top_customers(gold: Tables, top: int = 20) -> DataFrame:
 def top_flavours(gold: Tables, top: int = 20) -> DataFrame:
     return (
         _sales_by(gold, "flavour_sk", "dim_flavour", "flavour_name")
-        .groupBy("flavour_name")
-        .agg(
-            F.sum("_amount").alias("total_sales_usd"),
-            F.sum("_rows").alias("transaction_count"),
-        )
         .orderBy(*_down("total_sales_usd", "transaction_count"), *_up("flavour_name"))
         .limit(top)
     )
 
 
 def top_countries(gold: Tables, top: int = 20) -> DataFrame:
+    sales = _sales_by(gold, "country_sk", "dim_country", "country_name", "transaction_country_sk")
     return (
-        _sales_by(gold, "country_sk", "dim_country", "country_name", "transaction_country_sk")
-        .groupBy("country_name")
-        .agg(F.sum("_amount").alias("total_sales_usd"))
+        sales.select("country_name", "total_sales_usd")
         .orderBy(*_down("total_sales_usd"), *_up("country_name"))
         .limit(top)
     )
@@ -283,12 +274,16 @@ def sales_country_gaps(gold: Tables, top: int = 50) -> DataFrame:
 def _sales_by(
     gold: Tables, sk: str, dim: str, name: str, fact_sk: str | None = None
 ) -> DataFrame:
-    per_key = (
-        gold["fact_sales_transactions"]
-        .groupBy(F.col(fact_sk or sk).alias(sk))
-        .agg(F.sum("amount_dollars").alias("_amount"), F.count("*").alias("_rows"))
+    """(name, total_sales_usd, transaction_count): added up per key, then per name."""
+    sales = gold["fact_sales_transactions"]
+    amount = ExactSum(sales, "amount_dollars")
+    per_key = sales.groupBy(F.col(fact_sk or sk).alias(sk)).agg(
+        *amount.parts(), F.count("*").alias("_rows")
+    )
+    named = per_key.join(gold[dim].select(sk, name), sk).groupBy(name)
+    return named.agg(*amount.merged(), F.sum("_rows").alias("transaction_count")).select(
+        name, amount.value().alias("total_sales_usd"), "transaction_count"
     )
-    return per_key.join(gold[dim].select(sk, name), sk)
 
 
 def _with_component_names(parts: DataFrame, gold: Tables) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame
 
-from lotbook.operators import version_span
+from lotbook.operators import version_spans
 from lotbook.plans import dimensions, facts
 from lotbook.plans.conform import conform
 from lotbook.plans.entities import (
@@ -19,6 +20,7 @@ from lotbook.plans.entities import (
     silver_schema,
 )
 from lotbook.quality.metrics import gold_metrics, silver_metrics
+from lotbook.session import at_once
 from lotbook.sources.tables import Warehouse
 
 # Versioned dimension -> the typed table it is built from.
@@ -30,6 +32,8 @@ VERSIONED = {
     "dim_customer": "customers",
     "dim_provider": "providers",
 }
+# These carry a country's key.
+_PLACED = ("dim_customer", "dim_provider")
 SILVER_METRICS = "silver_data_quality_metrics"
 GOLD_METRICS = "gold_data_quality_metrics"
 
@@ -51,43 +55,81 @@ def read_silver_metrics(warehouse: Warehouse) -> DataFrame:
 
 
 def rebuild_silver(warehouse: Warehouse) -> None:
-    for entity, raw in read_bronze(warehouse).items():
-        warehouse.replace("silver", f"silver_{entity}", conform(raw, entity))
+    """The typed tables do not need each other and are written at once; the metrics read them."""
+    raw = read_bronze(warehouse)
+
+    def build(entity: str) -> None:
+        warehouse.replace("silver", f"silver_{entity}", conform(raw[entity], entity))
+
+    at_once(*(partial(build, entity) for entity in raw))
     warehouse.replace("silver", SILVER_METRICS, silver_metrics(read_silver(warehouse)))
 
 
 def rebuild_gold(warehouse: Warehouse) -> None:
     """Each table is written before it is used: later plans then know its size, and a lost
-    executor costs a re-read instead of a recomputation of the layers below."""
+    executor costs a re-read instead of a recomputation of the layers below. Tables that do not
+    need each other are written at once, in three rounds before the metrics."""
     silver = read_silver(warehouse)
-    spans = {entity: version_span(silver[entity], VERSION) for entity in VERSIONED.values()}
-
-    def build(table: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        warehouse.replace("gold", table, df, partition_by)
-        return warehouse.read("gold", table, GOLD_SCHEMAS[table])
-
-    gold = {"dim_country": build("dim_country", dimensions.dim_country(silver))}
-    for table, entity in VERSIONED.items():
-        gold[table] = build(table, _dimension(table, silver[entity], gold, spans[entity]))
-
-    sales = facts.fact_sales_transactions(silver["sales_transactions"], gold)
-    gold["fact_sales_transactions"] = build("fact_sales_transactions", sales, VERSION)
-    stock = facts.fact_provider_ingredient_stock(silver["ingredients"], gold)
-    gold["fact_provider_ingredient_stock"] = build(
-        "fact_provider_ingredient_stock", stock, VERSION
+    spans = version_spans({entity: silver[entity] for entity in VERSIONED.values()}, VERSION)
+    gold: dict[str, DataFrame] = {}
+
+    def build(table: str, make: Callable[[], DataFrame]) -> None:
+        by_batch = VERSION if table.startswith("fact_") else None
+        warehouse.replace("gold", table, make(), by_batch)
+        gold[table] = warehouse.read("gold", table, GOLD_SCHEMAS[table])
+
+    def dimension(table: str) -> Callable[[], None]:
+        entity = VERSIONED[table]
+        return partial(
+            build, table, lambda: _dimension(table, silver[entity], gold, spans[entity])
+        )
+
+    def components() -> DataFrame:
+        widest = max(spans[VERSIONED[dim]] for dim in COMPONENTS.values())
+        counted = sum(gold[dim].count() for dim in COMPONENTS.values())  # from the files' footers
+        return facts.fact_recipe_components(silver["recipes"], gold, widest, counted)
+
+    at_once(
+        partial(build, "dim_country", lambda: dimensions.dim_country(silver)),
+        *(dimension(table) for table in VERSIONED if table not in _PLACED),
+    )
+    at_once(
+        partial(build, "fact_recipe_components", components), *(dimension(table) for table in _PLACED)
+    )
+    at_once(
+        partial(
+            build,
+            "fact_sales_transactions",
+            lambda: facts.fact_sales_transactions(silver["sales_transactions"], gold),
+        ),
+        partial(
+            build,
+            "fact_provider_ingredient_stock",
+            lambda: facts.fact_provider_ingredient_stock(silver["ingredients"], gold),
+        ),
     )
-    widest = max(spans[VERSIONED[dim]] for dim in COMPONENTS.values())
-    counted = sum(gold[dim].count() for dim in COMPONENTS.values())  # from the files' footers
-    components = facts.fact_recipe_components(silver["recipes"], gold, widest, counted)
-    gold["fact_recipe_components"] = build("fact_recipe_components", components, VERSION)
-    build(GOLD_METRICS, gold_metrics(gold))
+    build(GOLD_METRICS, lambda: gold_metrics(gold))
 
 
 class LazyGold(Mapping[str, DataFrame]):
     """The gold tables as unexecuted plans over the typed tables, each made when asked for."""
 
-    def __init__(self, silver: Mapping[str, DataFrame], span: int | None = None):
-        self._silver, self._span, self._made = silver, span, {}
+    def __init__(
+        self,
+        silver: Mapping[str, DataFrame],
+        span: int | Callable[[str], int] | None = None,
+    ):
+        """``span`` bounds the versions of a key, or counts those of an entity when a table first
+        needs them."""
+        self._silver, self._bound, self._made = silver, span, {}
+        self._counted: dict[str, int] = {}
+
+    def _span(self, entity: str) -> int | None:
+        if not callable(self._bound):
+            return self._bound
+        if entity not in self._counted:
+            self._counted[entity] = self._bound(entity)
+        return self._counted[entity]
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._made:
@@ -105,13 +147,16 @@ class LazyGold(Mapping[str, DataFrame]):
         if table == "dim_country":
             return dimensions.dim_country(silver)
         if table in VERSIONED:
-            return _dimension(table, silver[VERSIONED[table]], self, self._span)
+            entity = VERSIONED[table]
+            return _dimension(table, silver[entity], self, self._span(entity))
         if table == "fact_sales_transactions":
             return facts.fact_sales_transactions(silver["sales_transactions"], self)
         if table == "fact_provider_ingredient_stock":
             return facts.fact_provider_ingredient_stock(silver["ingredients"], self)
         if table == "fact_recipe_components":
-            return facts.fact_recipe_components(silver["recipes"], self, self._span)
+            spans = [self._span(VERSIONED[dim]) for dim in COMPONENTS.values()]
+            widest = None if None in spans else max(spans)
+            return facts.fact_recipe_components(silver["recipes"], self, widest)
         if table == GOLD_METRICS:
             return gold_metrics(self)
         raise KeyError(table)
@@ -121,6 +166,6 @@ def _dimension(
     table: str, silver: DataFrame, gold: Mapping[str, DataFrame], span: int | None
 ) -> DataFrame:
     make = getattr(dimensions, table)
-    if table in ("dim_customer", "dim_provider"):
+    if table in _PLACED:
         return make(silver, gold["dim_country"], span)
     return make(silver, span)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -79,42 +80,108 @@ def rows_without_country(gold: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, arms)
 
 
-def keys_not_current_once(dim: DataFrame, key: str) -> DataFrame:
-    current = F.count_if("is_current").alias("_current")
-    return dim.groupBy(key).agg(current).filter(F.col("_current") != 1).select(key)
+def null_rows(df: DataFrame, names: Sequence[str], blanks: bool = False) -> DataFrame:
+    """(column_name, null_rows), a line per column, from one pass. With ``blanks``, blank text
+    counts as null, as it should in raw tables."""
+    missing = absent if blanks else lambda n: F.col(n).isNull()
+    counts = df.agg(F.array(*(F.count_if(missing(n)) for n in names)).alias("counts"))
+    lines = F.arrays_zip(
+        F.array(*map(F.lit, names)).alias("column_name"), F.col("counts").alias("null_rows")
+    )
+    return counts.select(F.inline(lines).alias("column_name", "null_rows"))
 
 
 def null_counts(df: DataFrame, names: Sequence[str], blanks: bool = False) -> DataFrame:
-    """Columns that hold nulls and how many rows; all columns in one pass. With ``blanks``, blank
-    text counts as null, as it should in raw tables."""
-    missing = absent if blanks else lambda n: F.col(n).isNull()
-    counts = df.agg(*(F.count_if(missing(n)).alias(n) for n in names))
-    cells = [c for n in names for c in (F.lit(n), F.col(n))]
-    rows = counts.select(F.stack(F.lit(len(names)), *cells).alias("column_name", "null_rows"))
-    return rows.filter(F.col("null_rows") > 0)
+    """Columns that hold nulls and how many rows."""
+    return null_rows(df, names, blanks).filter(F.col("null_rows") > 0)
 
 
-def repeated_values(df: DataFrame, name: str) -> DataFrame:
-    value = F.col(name)
+# What a value of a key column says: a row holds it, or it is known elsewhere.
+UNIQUE, PARENT, CURRENT = "unique", "parent", "current"
+
+
+@dataclass(frozen=True)
+class KeyRule:
+    """A rule on the values of one column, broken per value.
+
+    ``UNIQUE``: a value in more than one row. ``PARENT``: a value that ``other`` (table, column)
+    does not hold; these two leave nulls alone. ``CURRENT``: a value, null among them, that not
+    exactly one row with a true ``flag`` holds.
+    """
+
+    kind: str
+    table: str
+    column: str
+    other: tuple[str, str] | None = None
+    flag: str = "is_current"
+
+    @property
+    def name(self) -> str:
+        return f"{self.table}.{self.column}"
+
+
+def key_groups(tables: Tables, rules: Sequence[KeyRule]) -> DataFrame:
+    """(kind, name, value, n_records) of the values that break a rule, for all rules at once.
+
+    Each table is read once: a row gives one mark per rule that its columns take part in, as child
+    or as parent. Marks are counted per rule and value in the map tasks and meet in one exchange,
+    so a hot value ships one row per task, and no reference needs a join of its own.
+    """
+    marks: dict[str, list[Column]] = {}
+    for rule in rules:
+        counted = F.col(rule.flag) if rule.kind == CURRENT else F.lit(True)
+        marks.setdefault(rule.table, []).append(_mark(rule, rule.column, counted))
+        if rule.other:
+            table, column = rule.other
+            marks.setdefault(table, []).append(_mark(rule, column, F.lit(False)))
+    arms = [
+        tables[table].select(F.inline(F.array(*cells))) for table, cells in marks.items()
+    ]
+    kind, n, others = F.col("kind"), F.col("n_records"), F.col("_others")
     return (
-        df.filter(value.isNotNull())
-        .groupBy(value.alias("value"))
-        .agg(F.count("*").alias("n_records"))
-        .filter(F.col("n_records") > 1)
+        reduce(DataFrame.unionByName, arms)
+        .filter(F.col("value").isNotNull() | (kind == CURRENT))
+        .groupBy("kind", "name", "value")
+        .agg(
+            F.count_if("counted").alias("n_records"),
+            F.count_if(~F.col("counted")).alias("_others"),
+        )
+        .filter(
+            F.when(kind == UNIQUE, n > 1)
+            .when(kind == PARENT, (n > 0) & (others == 0))
+            .otherwise(n != 1)
+        )
+        .drop("_others")
+    )
+
+
+def _mark(rule: KeyRule, column: str, counted: Column) -> Column:
+    return F.struct(
+        F.lit(rule.kind).alias("kind"),
+        F.lit(rule.name).alias("name"),
+        F.col(column).cast("string").alias("value"),
+        F.coalesce(counted, F.lit(False)).alias("counted"),
     )
 
 
+def repeated_values(df: DataFrame, name: str) -> DataFrame:
+    """Values of one column in more than one row."""
+    broken = key_groups({"": df}, [KeyRule(UNIQUE, "", name)])
+    return broken.select(F.col("value").cast(df.schema[name].dataType).alias("value"), "n_records")
+
+
 def orphan_keys(child: DataFrame, name: str, parent: DataFrame, parent_name: str) -> DataFrame:
-    """Child keys without a parent, with the number of child rows that hold them.
+    """Child keys without a parent, with the number of child rows that hold them."""
+    rule = KeyRule(PARENT, "child", name, ("parent", parent_name))
+    broken = key_groups({"child": child, "parent": parent}, [rule])
+    kind = child.schema[name].dataType
+    return broken.select(F.col("value").cast(kind).alias("value"), "n_records")
 
-    Child rows are counted per key before the join, so the join moves keys, not rows.
-    """
-    keys = (
-        child.filter(F.col(name).isNotNull())
-        .groupBy(F.col(name).alias("value"))
-        .agg(F.count("*").alias("n_records"))
-    )
-    return keys.join(parent.select(F.col(parent_name).alias("value")), "value", "left_anti")
+
+def keys_not_current_once(dim: DataFrame, key: str) -> DataFrame:
+    """Natural keys, null among them, with no current version or several."""
+    broken = key_groups({"": dim}, [KeyRule(CURRENT, "", key)])
+    return broken.select(F.col("value").cast(dim.schema[key].dataType).alias(key))
 
 
 def unexpected_values(df: DataFrame, name: str, accepted: Sequence[str]) -> DataFrame:

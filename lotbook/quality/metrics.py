@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotbook.functions import outside, percentage
-from lotbook.plans.entities import VERSION
+from lotbook.functions import ExactSum, outside, percentage
+from lotbook.plans.entities import COMPONENTS, VERSION
 
 Tables = Mapping[str, DataFrame]
 
@@ -82,11 +82,34 @@ def metric_rows(counts: DataFrame, parts: Sequence[tuple[str, str, str]]) -> Dat
 
 def recipe_profile(components: DataFrame) -> DataFrame:
     """Rows, distinct types and ratio sum per recipe version; feeds two metrics, a check and
-    two drill-downs."""
-    return components.groupBy("recipe_sk", VERSION).agg(
+    two drill-downs.
+
+    A recipe's key stands for its id and batch. Types are flags of one number, so distinct ones
+    need no second exchange; labels that the model does not know count as one type, or as two if
+    they differ.
+    """
+    kind, ratio = F.col("component_type"), ExactSum(components, "component_ratio")
+    flag = reduce(
+        lambda found, at: found.when(kind == at[1], 1 << at[0]),
+        enumerate(COMPONENTS),
+        F.when(kind.isNull(), 0),
+    ).otherwise(0)
+    unknown = F.when(~kind.isin(*COMPONENTS), F.xxhash64(kind))
+    grouped = components.groupBy("recipe_sk").agg(
+        F.max(VERSION).alias(VERSION),
         F.count("*").alias("component_rows"),
-        F.count_distinct("component_type").alias("component_types"),
-        F.sum("component_ratio").alias("ratio_sum"),
+        F.bit_count(F.bit_or(flag)).cast("bigint").alias("_known"),
+        F.min(unknown).alias("_least"),
+        F.max(unknown).alias("_greatest"),
+        *ratio.parts(),
+    )
+    others = F.when(F.col("_least").isNull(), 0).when(F.col("_least") == F.col("_greatest"), 1)
+    return grouped.select(
+        "recipe_sk",
+        VERSION,
+        "component_rows",
+        (F.col("_known") + others.otherwise(2)).alias("component_types"),
+        ratio.value().alias("ratio_sum"),
     )
 
 

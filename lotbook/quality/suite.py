@@ -5,7 +5,7 @@ Fixed values: which columns are tested for what.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lotbook.plans.entities import COMPONENTS, ENTITIES, VERSION
 from lotbook.quality import checks
+from lotbook.quality.checks import CURRENT, PARENT, UNIQUE, KeyRule
 
 Tables = Mapping[str, DataFrame]
 
@@ -79,7 +80,7 @@ NOT_NULL = {
     },
 }
 
-UNIQUE = {
+UNIQUE_KEYS = {
     "dim_country": ("country_sk", "country_name"),
     "dim_customer": ("customer_sk",),
     "dim_provider": ("provider_sk",),
@@ -125,23 +126,65 @@ DIMENSION_KEYS = {
 }
 
 
+#: Every rule on the values of a key column in the gold layer.
+KEY_RULES = [
+    *(KeyRule(UNIQUE, table, name) for table, names in UNIQUE_KEYS.items() for name in names),
+    *(KeyRule(PARENT, *child, parent) for child, parent in PARENTS.items()),
+    *(KeyRule(CURRENT, dim, key) for dim, key in DIMENSION_KEYS.items()),
+]
+_ENDINGS = {UNIQUE: "unique", PARENT: "has_parent", CURRENT: "one_current"}
+
+
+def check_name(rule: KeyRule) -> str:
+    table = rule.table if rule.kind == CURRENT else rule.name
+    return f"gold.{table}.{_ENDINGS[rule.kind]}"
+
+
 def violations(layer: str, tables: Tables) -> dict[str, DataFrame]:
-    """Every check of a layer by name, as the frame of what breaks it."""
-    found = {
-        f"{layer}.{table}.not_null": checks.null_counts(tables[table], names, blanks=layer == "bronze")
+    """The checks of a layer that are not per column, by name, as the frame of what breaks them."""
+    return {"bronze": _bronze, "silver": _silver, "gold": _gold}[layer](tables)
+
+
+def null_report(layer: str, tables: Tables) -> DataFrame:
+    """(check_name, violations): a line per tested column, one pass over each table."""
+    arms = [
+        checks.null_rows(tables[table], names, blanks=layer == "bronze").select(
+            F.concat(F.lit(f"{layer}.{table}."), "column_name", F.lit(".not_null")).alias(
+                "check_name"
+            ),
+            F.col("null_rows").alias("violations"),
+        )
         for table, names in NOT_NULL[layer].items()
-    }
-    return found | {"bronze": _bronze, "silver": _silver, "gold": _gold}[layer](tables)
+    ]
+    return reduce(DataFrame.unionByName, arms)
+
+
+def key_report(tables: Tables, rules: Sequence[KeyRule]) -> DataFrame:
+    """(check_name, violations): a line per key rule, all from one exchange."""
+    found = checks.key_groups(tables, rules).groupBy("kind", "name").agg(
+        F.count("*").alias("violations")
+    )
+    names = found.sparkSession.createDataFrame(
+        [(r.kind, r.name, check_name(r)) for r in rules],
+        "kind string, name string, check_name string",
+    )
+    # One row per rule on either side.
+    lines = F.broadcast(names).join(found, ["kind", "name"], "left")
+    return lines.select("check_name", F.coalesce("violations", F.lit(0)).alias("violations"))
 
 
 def report(layer: str, tables: Tables) -> DataFrame:
-    """One row per check: name, number of violations, passed."""
+    """One row per declared test: name, number of violations, passed. Null tests count rows, key
+    tests values, the others whatever breaks them."""
     counts = [
         broken.agg(F.count("*").alias("violations")).select(
             F.lit(name).alias("check_name"), "violations"
         )
         for name, broken in violations(layer, tables).items()
     ]
+    counts.append(null_report(layer, tables))
+    if layer == "gold":
+        counts.append(key_report(tables, KEY_RULES))
     rows = reduce(DataFrame.unionByName, counts)
     return rows.withColumn("passed", F.col("violations") == 0)
 
@@ -177,24 +220,9 @@ def _silver(tables: Tables) -> dict[str, DataFrame]:
 
 def _gold(tables: Tables) -> dict[str, DataFrame]:
     found = {
-        f"gold.{table}.{name}.unique": checks.repeated_values(tables[table], name)
-        for table, names in UNIQUE.items()
-        for name in names
-    }
-    found |= {
-        f"gold.{child}.{name}.has_parent": checks.orphan_keys(
-            tables[child], name, tables[parent], parent_name
-        )
-        for (child, name), (parent, parent_name) in PARENTS.items()
-    }
-    found |= {
         f"gold.{table}.{name}.accepted": checks.unexpected_values(tables[table], name, accepted)
         for (table, name), accepted in ACCEPTED.items()
     }
-    found |= {
-        f"gold.{dim}.one_current": checks.keys_not_current_once(tables[dim], key)
-        for dim, key in DIMENSION_KEYS.items()
-    }
     return found | {
         "gold.sales.unique_transaction_and_batch": checks.repeated_keys(
             tables["fact_sales_transactions"], ["transaction_id", VERSION]

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -39,3 +43,32 @@ def shared_folder(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="lotbook-")
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the application ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4()}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to a new Parquet folder that all executors share, and read back."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def at_once(*steps: Callable[[], object], threads: int = 4) -> list:
+    """Runs steps that do not need each other from a few threads, so that one's last tasks leave
+    cores to the next; each has a pool of its own where the cluster shares fairly. The first
+    failure is raised when all have ended."""
+    spark = SparkSession.getActiveSession()
+
+    def run(step: Callable[[], object]) -> object:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"step-{id(step)}")
+        return step()
+
+    with ThreadPoolExecutor(threads) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(run), s) for s in steps]]

@@ -1,8 +1,11 @@
+import math
+import random
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from lotbook.functions import ExactSum
 from lotbook.operators import (
     asof_version,
     exact_version,
@@ -11,6 +14,7 @@ from lotbook.operators import (
     value_dimension,
     value_lookup,
     version_span,
+    version_spans,
     versioned_dimension,
     with_next_version,
 )
@@ -58,9 +62,10 @@ def test_next_version_across_slices(spark, rows, span):
 
 
 def test_version_span(spark):
-    df = spark.createDataFrame([(1,), (7,), (None,)], "v bigint")
-    assert version_span(df, "v") >= 8
-    assert version_span(df.filter("v > 100"), "v") == 0
+    df = spark.createDataFrame([(1,), (20261231,), (None,), (1,)], "v bigint")
+    assert version_span(df, "v") == 3
+    assert version_spans({"a": df, "b": df.limit(0)}, "v") == {"a": 3, "b": 0}
+    assert version_span(df.filter("v > 30000000"), "v") == 0
 
 
 def test_exact_version(spark, rows):
@@ -109,6 +114,55 @@ def test_asof_version_across_slices(spark, rows, span):
     dim.unpersist()
 
 
+def test_asof_carry_over_many_ranges(spark, rows):
+    """A hot key and a hot version over several ranges, two key columns, keys without versions,
+    rows that repeat, nulls, other column types, and an empty side."""
+    versions = [("a", 1, v, f"a{v}") for v in (2, 40, 41)] + [("a", 2, 7, None), ("z", 1, 1, "z")]
+    dim = spark.createDataFrame(versions, "k string, m int, batch_number bigint, t string")
+    asked = [(i, "a", 1, 40 if i % 3 else i % 90, [1.5, None]) for i in range(2000)]
+    asked += [(1, "a", 2, 9, None)] * 5 + [(2, "b", 1, 9, []), (3, "z", 1, 0, []), (4, "z", 1, 9, [])]
+    asked += [(5, None, 1, 9, []), (6, "a", None, 9, []), (7, "a", 1, None, [])]
+    df = spark.createDataFrame(asked, "i int, k string, m int, batch_number bigint, x array<double>")
+    found = asof_version(df.repartition(6), dim, ["k", "m"], {"t": "t", "m": "m2"})
+    want = []
+    for row in asked:
+        past = [v for v in versions if v[:2] == row[1:3] and row[3] is not None and v[2] <= row[3]]
+        if past:
+            newest = max(past, key=lambda v: v[2])
+            want.append((*row, newest[3], newest[1]))
+    assert rows(found) == sorted(want, key=repr)
+    assert asof_version(df.limit(0), dim, ["k", "m"], {"t": "t"}).count() == 0
+    assert asof_version(df, dim.limit(0), ["k", "m"], {"t": "t"}).count() == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_exact_sum(spark, partitions):
+    rng = random.Random(4)
+    groups = {
+        "money": [round(rng.uniform(-1e6, 1e6), 2) for _ in range(3000)],
+        "tenths": [0.1] * 999,
+        "cancel": [1e17, 1.0, -1e17, 2**-60, -1.0, 3.0],
+        "large": [9e18, 9e18, -1.5, 2.0**62, 0.25],
+        "small": [rng.uniform(-1, 1) * 2.0 ** -rng.randrange(40) for _ in range(500)],
+        "negative": [-0.1, -0.2, -0.3],
+        "ties": [2.0**53, 1.0, 2.0**-40],
+        "none": [None],
+        "infinite": [1.0, math.inf],
+        "huge": [1e300, 1e300],
+    }
+    data = [(k, x) for k, values in groups.items() for x in values]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "k string, x double").repartition(partitions)
+    total = ExactSum(df, "x")
+    # Twice: over rows, then over sums of parts.
+    first = df.groupBy("k", F.spark_partition_id().alias("p")).agg(*total.parts())
+    found = first.groupBy("k").agg(*total.merged()).select("k", total.value().alias("s"))
+    want = {k: math.fsum(v) if v != [None] else None for k, v in groups.items()}
+    assert {r.k: r.s for r in found.collect()} == want
+    whole = ExactSum(df.withColumn("n", F.lit(2)), "n")
+    assert df.withColumn("n", F.lit(2)).agg(*whole.parts()).select(whole.value()).first()[0] == 2 * len(data)
+
+
 def test_value_dimension_and_lookup(spark, rows):
     left = spark.createDataFrame([(" Peru ",), ("PERU",), ("",), (None,)], "c string")
     right = spark.createDataFrame([("chile",), ("  ",)], "d string")

@@ -154,11 +154,18 @@ def test_check_reports(warehouse, gold):
     def failed(layer, tables):
         return {r[0] for r in suite.report(layer, tables).filter("not passed").collect()}
 
+    lines = {layer: len(columns) for layer, columns in (
+        (layer, [c for names in tables.values() for c in names])
+        for layer, tables in suite.NOT_NULL.items())}
+    assert lines == {"bronze": 7, "silver": 42, "gold": 24}
+    tested = [r[0] for r in suite.report("gold", gold).collect()]
+    assert len(tested) == len(set(tested)) == 24 + 11 + 8 + 6 + 1 + 3
     assert failed("bronze", rebuild.read_bronze(warehouse)) == set()
     assert failed("silver", rebuild.read_silver(warehouse)) == {
         "silver.ingredients.non_negative",
-        "silver.ingredients.not_null",
-        "silver.recipes.not_null",
+        "silver.ingredients.generation_date.not_null",
+        "silver.recipes.flavour_id.not_null",
+        "silver.recipes.flavour_ratio.not_null",
         "silver.recipes.ratios_sum_to_one",
         "silver.recipes.yield_in_range",
         "silver.sales_transactions.non_negative",
@@ -166,8 +173,9 @@ def test_check_reports(warehouse, gold):
     }
     assert failed("gold", gold) == {
         "gold.country_key_coverage",
-        "gold.fact_provider_ingredient_stock.not_null",
-        "gold.fact_sales_transactions.not_null",
+        "gold.fact_provider_ingredient_stock.provider_sk.not_null",
+        "gold.fact_sales_transactions.customer_sk.not_null",
+        "gold.fact_sales_transactions.flavour_sk.not_null",
         "gold.fact_sales_transactions.sales_txn_sk.unique",
         "gold.recipes.ratios_sum_to_one",
         "gold.sales.unique_transaction_and_batch",

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from lotbook.quality import checks, metrics
+from lotbook.quality import checks, metrics, suite
 
 KEYS = "k string, batch_number bigint"
 
@@ -75,3 +75,48 @@ def test_blank_batches_are_absent(spark):
     assert sorted((r.table_name, r.bad_rows) for r in found) == [("raw", 3), ("typed", 1)]
     counts = lambda blanks: checks.null_counts(df, ["batch_number"], blanks).first()[1]
     assert (counts(False), counts(True)) == (1, 3)
+
+
+def test_key_rules_share_one_exchange(spark, rows):
+    """Unique, parent and current rules of three tables at once; nulls, a parent of two children,
+    a table that refers to itself, equal values under different rules."""
+    lots = spark.createDataFrame(
+        [("a", "x", True), ("a", "q", False), ("b", None, False), (None, "x", True)],
+        "sk string, box string, is_current boolean",
+    )
+    boxes = spark.createDataFrame([("x", 1), ("y", 2), ("y", None)], "sk string, n bigint")
+    notes = spark.createDataFrame([("q", 1), ("y", 3), ("q", 9)], "box string, n bigint")
+    rules = [
+        checks.KeyRule(checks.UNIQUE, "lots", "sk"),
+        checks.KeyRule(checks.UNIQUE, "boxes", "sk"),
+        checks.KeyRule(checks.PARENT, "lots", "box", ("boxes", "sk")),
+        checks.KeyRule(checks.PARENT, "notes", "box", ("boxes", "sk")),
+        checks.KeyRule(checks.PARENT, "boxes", "n", ("notes", "n")),
+        checks.KeyRule(checks.CURRENT, "lots", "sk"),
+    ]
+    tables = {"lots": lots, "boxes": boxes, "notes": notes}
+    assert rows(checks.key_groups(tables, rules)) == [
+        ("current", "lots.sk", "b", 0),
+        ("parent", "boxes.n", "2", 1),
+        ("parent", "lots.box", "q", 1),
+        ("parent", "notes.box", "q", 2),
+        ("unique", "boxes.sk", "y", 2),
+        ("unique", "lots.sk", "a", 2),
+    ]
+    empty = {name: df.limit(0) for name, df in tables.items()}
+    assert rows(checks.key_groups(empty, rules)) == []
+    report = suite.key_report(empty, suite.KEY_RULES[:0] + rules)
+    assert {r.violations for r in report.collect()} == {0} and report.count() == len(rules)
+
+
+def test_recipe_profile_counts_labels_it_does_not_know(spark, rows):
+    parts = [("r", k, 0.1) for k in ("flavour", "flavour", "ingredient", "raw_material")]
+    parts += [("s", "spice", 0.5), ("s", "spice", 0.25), ("s", "flavour", None)]
+    parts += [("t", "spice", 0.5), ("t", "salt", 0.5), ("t", None, None), ("u", None, None)]
+    df = spark.createDataFrame(
+        [(k, 4, kind, x) for k, kind, x in parts],
+        "recipe_sk string, batch_number bigint, component_type string, component_ratio double",
+    )
+    assert rows(metrics.recipe_profile(df)) == [
+        ("r", 4, 4, 3, 0.4), ("s", 4, 3, 2, 0.75), ("t", 4, 3, 2, 1.0), ("u", 4, 1, 0, None),
+    ]

@@ -7,10 +7,17 @@ from io import StringIO
 import pytest
 from pyspark.sql import functions as F
 
-from lotbook.operators import exact_version, latest_per_key, versioned_dimension
+from lotbook.operators import (
+    asof_version,
+    exact_version,
+    latest_per_key,
+    lookups,
+    versioned_dimension,
+)
 from lotbook.plans import marts
 from lotbook.plans.entities import GOLD_SCHEMAS
 from lotbook.plans.rebuild import LazyGold
+from lotbook.quality import checks, metrics, suite
 from workload.registry import QUERIES, Silver
 
 SMALLEST = "/root/testdata/sf0.001"
@@ -105,6 +112,44 @@ def test_one_recipe_is_filtered_in_the_scan(written):
     assert re.search(r"EqualTo\(recipe_sk,[0-9a-f]{32}\)", pushed)
 
 
+def exchanges(df):
+    return operators(df).count("Exchange")
+
+
+def test_asof_carry_shuffles_rows_and_versions_once(versions):
+    """The dimension's own exchange, the ranges, and one row per range for their ends."""
+    dim = versioned_dimension(versions, "sk", "k", ["a"])
+    take = {"sk": "version_sk"}
+    marks = lookups.asof_marks(versions.select("k", "batch_number", "unused"), dim, ["k"], take)
+    found = asof_version(versions.select("k", "batch_number", "unused"), dim, ["k"], take)
+    assert exchanges(marks) == 2 and exchanges(found) == 1
+    assert plan_of(marks).count("FileScan") == 2
+    assert "hashpartitioning" not in plan_of(found)
+
+
+def test_key_rules_read_each_table_once(written):
+    groups = checks.key_groups(written, suite.KEY_RULES)
+    assert exchanges(groups) == 1
+    tested = {rule.table for rule in suite.KEY_RULES}
+    assert plan_of(groups).count("FileScan") == len(tested)
+
+
+def test_null_tests_read_each_table_once(written):
+    plan = plan_of(suite.null_report("gold", written))
+    assert plan.count("FileScan") == len(suite.NOT_NULL["gold"])
+
+
+def test_recipes_are_profiled_in_one_exchange(written, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(metrics.recipe_profile(written["fact_recipe_components"])) == 1
+        assert exchanges(marts.recipes_without_three_components(written)) == 2
+        assert exchanges(marts.recipes_with_odd_ratio_sum(written)) == 2
+        assert exchanges(marts.recipes_using(written, 3, "flavour", 7)) == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("mart", [marts.top_customers, marts.top_flavours, marts.top_countries])
 def test_sums_are_taken_before_the_join(written, mart):
     plan = operators(mart(written))

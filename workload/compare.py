@@ -28,12 +28,26 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def later(row, following, order: tuple[str, ...]) -> bool:
+    """Whether the row belongs behind the one that follows it. Nulls come last."""
+    for column in order:
+        name = column.removeprefix("-")
+        a, b = row[name], following[name]
+        if a != b:
+            return a is None or b is not None and (a < b if column.startswith("-") else a > b)
+    return False
+
+
 def difference(spark, con, sf_dir: str, name: str) -> tuple[int, str]:
-    """(rows, what differs); the comparison is exact and counts duplicates."""
+    """(rows, what differs); the comparison is exact and counts duplicates. Where the query says
+    how its rows are ordered, they must come so."""
     query = QUERIES[name]
     df = query.run(spark, sf_dir)
     columns = sorted(df.columns)
-    ours = Counter(tuple(row[c] for c in columns) for row in df.collect())
+    rows = df.collect()
+    if query.order and any(map(later, rows, rows[1:], [query.order] * len(rows))):
+        return len(rows), f"not in the order of {query.order}"
+    ours = Counter(tuple(row[c] for c in columns) for row in rows)
     result = con.execute(query.sql)
     names = [d[0] for d in result.description]
     if sorted(names) != columns:

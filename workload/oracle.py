@@ -26,8 +26,15 @@ def date(column: str) -> str:
     ) + ")"
 
 
-def exact(column: str, scale: int = 2) -> str:
-    return f"cast(sum(cast({column} as decimal(18, {scale}))) as double)"
+def quoted(name: str) -> str:
+    return f'"{name}"'
+
+
+def exact(column: str, times: int = 1) -> str:
+    """The DOUBLE nearest to the true sum: the values are whole multiples of 2^-64, which sum
+    without loss, and the text of the sum is read back with one rounding."""
+    whole = f"{times} * sum(cast({column} * {1 << 64}::double as hugeint))"
+    return f"cast(cast({whole} as varchar) as double) / {1 << 64}::double"
 
 
 def pct(numerator: str, denominator: str) -> str:
