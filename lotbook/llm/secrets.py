@@ -6,7 +6,7 @@ import hashlib
 import math
 import re
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import accumulate, islice, pairwise
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -29,12 +29,19 @@ _STEMS = ("passw", "secret", "token", "api")
 #: Entropy scan: candidate strings, window, and bits a character that a window must reach.
 WINDOW = 20
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Bars by the narrowest class that a window's characters fit, narrowest first. Digits alone are
+#: numbers, whatever their entropy.
 _CLASSES = (
-    (re.compile(r"[0-9a-fA-F]+"), 3.0),
-    (re.compile(r"[a-z]+|[A-Z]+"), 3.2),
-    (re.compile(r"[A-Za-z0-9]+"), 3.7),
-    (re.compile(r"[A-Za-z0-9+/_=-]+"), 3.9),
+    (frozenset("0123456789"), math.inf),
+    (frozenset("0123456789abcdef"), 3.0),
+    (frozenset("0123456789ABCDEF"), 3.0),
+    (frozenset("0123456789abcdefABCDEF"), 3.0),
+    (frozenset("abcdefghijklmnopqrstuvwxyz"), 3.2),
+    (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), 3.2),
 )
+_ALNUM_BITS, _ANY_BITS = 3.7, 3.9
+#: Steps of a window to the next character of the alphabet, or back, that make it a list of them.
+_LISTED = WINDOW // 2
 #: High-entropy strings that are no secrets: UUIDs.
 ALLOWED = (r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",)
 #: Words and short numbers joined by marks, paths for one. Each mark run has one place to match, so
@@ -85,8 +92,8 @@ def base_spans(text: str) -> list[Span]:
 _TERM = [0.0, 0.0] + [c * math.log2(c) for c in range(2, WINDOW + 1)]
 
 
-def hot_starts(run: str, least: float) -> Iterator[int]:
-    """Starts of the windows whose entropy reaches ``least`` bits.
+def window_bits(run: str) -> Iterator[float]:
+    """Entropy of each window, by start.
 
     Counts change by one character in and one out per step, so a run costs its length, not its
     length times the window.
@@ -102,14 +109,40 @@ def hot_starts(run: str, least: float) -> Iterator[int]:
         count = counts.get(char, 0)
         total += _TERM[count + 1] - _TERM[count]
         counts[char] = count + 1
-        if i >= window - 1 and math.log2(window) - total / window >= least - 1e-9:
-            yield i - window + 1
+        if i >= window - 1:
+            yield math.log2(window) - total / window
 
 
-def hot_windows(run: str, least: float) -> tuple[int, int] | None:
-    """First start and last end of the windows whose entropy reaches ``least`` bits."""
-    starts = list(hot_starts(run, least))
-    return (starts[0], starts[-1] + WINDOW) if starts else None
+def _sums(marks: Iterable[bool]) -> list[int]:
+    return [0, *accumulate(marks)]
+
+
+def window_bars(run: str) -> Iterator[float]:
+    """The bar of each window: that of the narrowest class which holds all its characters, so
+    neighbours of another class do not raise it. Runs along the alphabet are no secrets."""
+    outside = [(_sums(c not in members for c in run), bits) for members, bits in _CLASSES]
+    marks = _sums(not c.isalnum() for c in run)
+    codes = [ord(c) for c in run]
+    up, down = (
+        _sums(b - a == step for a, b in pairwise(codes)) for step in (1, -1)
+    )
+    for start in range(len(run) - WINDOW + 1):
+        end = start + WINDOW
+        if max(up[end - 1] - up[start], down[end - 1] - down[start]) >= _LISTED:
+            yield math.inf
+            continue
+        for sums, bits in outside:
+            if sums[end] == sums[start]:
+                yield bits
+                break
+        else:
+            yield _ALNUM_BITS if marks[end] == marks[start] else _ANY_BITS
+
+
+def hot_starts(run: str) -> list[int]:
+    """Starts of the windows whose entropy reaches their bar."""
+    levels = zip(window_bits(run), window_bars(run), strict=True)
+    return [start for start, (bits, bar) in enumerate(levels) if bits >= bar - 1e-9]
 
 
 def odd_starts(run: str) -> Iterator[int]:
@@ -127,15 +160,21 @@ def odd_starts(run: str) -> Iterator[int]:
 
 
 def hot_stretches(run: str, allowed: re.Pattern) -> Iterator[tuple[int, int]]:
-    """Start and end of what the hot windows of a string cover, windows that meet together, with
-    the bar of the narrowest character class that the string fits."""
+    """Start and end of what the hot windows of a string cover, windows that meet together.
+
+    Windows without digits, and all windows of a string of words and short numbers, count only
+    if their letters do not look like words.
+    """
     if len(run) < WINDOW or allowed.fullmatch(run):
         return
-    least = next(bits for members, bits in _CLASSES if members.fullmatch(run))
-    starts = list(hot_starts(run, least))
-    if starts and _WORDS.fullmatch(run):
+    starts = hot_starts(run)
+    if starts:
         odd = set(odd_starts(run))
-        starts = [s for s in starts if s in odd]
+        words = _WORDS.fullmatch(run) is not None
+        digits = _sums(c.isdigit() for c in run)
+        starts = [
+            s for s in starts if s in odd or not words and digits[s + WINDOW] > digits[s]
+        ]
     for i, start in enumerate(starts):
         if i == 0 or start > starts[i - 1] + WINDOW:
             first = start
