@@ -48,7 +48,7 @@ def write_token_files(
 
     @pandas_udf("binary")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokenizer = word_tokenizer(tokenizer_path)
+        tokenizer = word_tokenizer(tokenizer_path, spell_special=True)
         for texts in batches:
             values = texts.tolist()
             out: list[bytes] = []

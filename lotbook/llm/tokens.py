@@ -26,9 +26,11 @@ class WordTokenizer:
     #: White space to ``str.split``, but not to the tokenizer; such texts are encoded whole.
     _SEPARATORS = re.compile("[\x1c-\x1f]")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, spell_special: bool = False):
+        """With ``spell_special`` the names of special tokens in a text are plain text, so their
+        ids occur nowhere; else they are those tokens, as in the file."""
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = spell_special
         spelt = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = map(chr, range(0xDF, 0x100))
         self._spelling = {ord(c): spelt.pre_tokenize_str(c)[0][0] for c in letters}
@@ -82,6 +84,6 @@ class WordTokenizer:
 
 
 @lru_cache(maxsize=2)
-def word_tokenizer(path: str) -> WordTokenizer:
+def word_tokenizer(path: str, spell_special: bool = False) -> WordTokenizer:
     """One per Python worker. The file is read where the task runs."""
-    return WordTokenizer(path)
+    return WordTokenizer(path, spell_special)

@@ -1,9 +1,11 @@
 """Text operators: packing, token files, BPE, secrets, licenses, against plain versions."""
 
 import hashlib
+import math
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -41,18 +43,23 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def ids_of(text):
+def ids_of(text, spelt=False):
+    """By the tokenizer as its file has it, or with the names of special tokens as plain text."""
     tokenizer = Tokenizer.from_file(WORD_BPE)
-    tokenizer.encode_special_tokens = True
+    if spelt:
+        tokenizer.encode_special_tokens = True
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
 def test_word_ids_equal_the_tokenizers():
     texts = [t or "" for t in TEXTS] + ["a\x85b c", "!\x1c!", "É é"]
-    tokenizer = WordTokenizer(WORD_BPE)
-    for _ in range(2):
-        found = [np.frombuffer(x, "<u4").tolist() for x in tokenizer.ids(texts)]
-        assert found == [ids_of(t) for t in texts]
+    texts += ["x <|endoftext|> y", "a<|endoftext|>b.<|startoftext|>", "<|EndOfText|> <| endoftext|>"]
+    assert ids_of("x <|endoftext|> y") == [343, 49407, 344]
+    for spelt in (False, True):
+        tokenizer = WordTokenizer(WORD_BPE, spelt)
+        for _ in range(2):
+            found = [np.frombuffer(x, "<u4").tolist() for x in tokenizer.ids(texts)]
+            assert found == [ids_of(t, spelt) for t in texts]
 
 
 @settings(max_examples=60, deadline=None)
@@ -93,7 +100,7 @@ def test_token_files(spark, docs, empty, tmp_path, block):
     path = str(tmp_path / "flat")
     token_files.write_token_files(docs, path, WORD_BPE, file_documents=4)
     rows = token_files.token_counts(spark, path, block_tokens=block).collect()
-    want = [len(ids_of(t)) + 1 for t in [*TEXTS, TEXTS[3], "id is null"]]
+    want = [len(ids_of(t, True)) + 1 for t in [*TEXTS, TEXTS[3], "id is null"]]
     assert sorted(r.n_tokens for r in rows) == sorted(want)
     by_file = {}
     for r in sorted(rows, key=lambda r: (r.file, r.doc_no)):
@@ -166,20 +173,45 @@ def test_base_secrets():
 
 
 def test_entropy_windows_equal_direct_counts():
-    import math
-    from collections import Counter
-
     rng = np.random.default_rng(2)
     for _ in range(50):
         run = "".join(rng.choice(list("abcdef0123456789XYZ"), rng.integers(20, 60)))
-        hot = []
-        for i in range(len(run) - secrets.WINDOW + 1):
+        levels = list(secrets.window_bits(run))
+        assert len(levels) == len(list(secrets.window_bars(run))) == len(run) - secrets.WINDOW + 1
+        for i, bits in enumerate(levels):
             counts = Counter(run[i : i + secrets.WINDOW]).values()
-            bits = -sum(c / secrets.WINDOW * math.log2(c / secrets.WINDOW) for c in counts)
-            if bits >= 3.3 - 1e-9:
-                hot.append(i)
-        want = (hot[0], hot[-1] + secrets.WINDOW) if hot else None
-        assert secrets.hot_windows(run, 3.3) == want
+            assert math.isclose(
+                bits,
+                -sum(c / secrets.WINDOW * math.log2(c / secrets.WINDOW) for c in counts),
+                abs_tol=1e-9,
+            )
+
+
+def test_class_of_a_window_is_its_own():
+    """A key beside characters of another class is found as surely as alone; numbers and lists of
+    the alphabet are no secrets."""
+    allow = secrets._allow(secrets.ALLOWED)
+    rng = np.random.default_rng(4)
+    digits = {"lower": "0123456789abcdef", "upper": "0123456789ABCDEF"}
+    for letters in digits.values():
+        for before in ("", "key_", "app-", "k=", "id_", "x/y_"):
+            keys = ["".join(rng.choice(list(letters), 31)) for _ in range(200)]
+            found = 0
+            for key in keys:
+                covered = [
+                    s < len(before) + 31 and e > len(before)
+                    for s, e, _ in secrets.find_spans(before + key, allow)[1]
+                ]
+                found += any(covered)
+            assert found >= 0.95 * len(keys), (before, found)
+    assert secrets.find_spans("ghp_16C7e42F292c6912E7710c838347Ae178B4a", allow)[1]
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    for harmless in (
+        alphabet, alphabet.upper() + "0123456789", alphabet[::-1], "x/" + alphabet + "/y",
+        *("".join(rng.choice(list("0123456789"), 24)) for _ in range(200)),
+        "v2/internationalization/AbstractSingletonProxyFactoryBean2",
+    ):
+        assert secrets.find_spans(harmless, allow)[1] == []
 
 
 def test_secret_scan(spark, docs, empty):
