@@ -24,6 +24,8 @@ GRAPH_NEIGHBOURS = 10
 BLOCK_ROWS = 4096
 EVERY = 20
 NEAREST = 20
+#: Rounding of a product of some thousands of parts, as a share of the norms' product.
+_LOSS = 1e-12
 
 
 @dataclass
@@ -149,10 +151,12 @@ def nearest(
     """(query_id, rank, vec_id, score): for each row whose vec_id is divisible by ``every``, its
     ``k`` nearest found among all other rows, by inner product in double precision.
 
-    Ties go to the smaller vec_id; all candidates are returned if there are fewer. Vectors that
-    are null, zero, or hold null or non-finite parts, and rows with a null id, take no part; nor
-    do vectors whose length is not the table's most common one. An id that repeats counts once, by
-    its best score. Other columns are ignored; an empty table gives no rows.
+    Ties go to the smaller vec_id; all candidates are returned if there are fewer. A product is
+    added up in one order whatever tile it is met in, so equal vectors have equal scores. Vectors
+    that are null, zero, or hold null or non-finite parts, and rows with a null id, take no part;
+    nor do vectors whose length is not the table's most common one, as they have no inner product
+    with the others. An id that repeats with other vectors counts once, by its best score, and as
+    a query it asks with each. Other columns are ignored; an empty table gives no rows.
 
     Every row is indexed under the partition that the router finds likeliest; each query goes to
     the ``probes`` likeliest. A partition that holds many rows is cut into blocks, and queries go
@@ -234,21 +238,34 @@ def nearest(
             x = _matrix(table.column("v").combine_chunks())
             for at in group_slices(tile):
                 own = np.arange(at.start, at.stop)
-                # An id that repeats is one candidate and one query.
-                same = (ids[own][1:] == ids[own][:-1]) & (asks[own][1:] == asks[own][:-1])
-                own = own[np.r_[True, ~same]]
                 queries, rest = own[asks[own]], own[~asks[own]]
+                # Rows come by id: each id's rows are one candidate, by the best of them.
+                first = np.flatnonzero(np.r_[True, ids[rest][1:] != ids[rest][:-1]][: len(rest)])
+                last, named = np.r_[first[1:], len(rest)], ids[rest][first]
                 found = []
                 for start in range(0, len(queries), 256):
                     block = queries[start : start + 256]
                     dots = x[block] @ x[rest].T
-                    dots[ids[block][:, None] == ids[rest][None]] = -np.inf
+                    # What a matrix product may lose against a sum in another order.
+                    largest = np.linalg.norm(x[rest], axis=1).max(initial=0.0)
+                    loss = _LOSS * largest * np.linalg.norm(x[block], axis=1)
                     for row, query in enumerate(block):
-                        best = _best(dots[row], ids[rest], k)
-                        best = best[dots[row][best] > -np.inf]
-                        found.append(
-                            (np.full(len(best), ids[query]), ids[rest][best], dots[row][best])
-                        )
+                        if not len(rest):
+                            break
+                        most = np.maximum.reduceat(dots[row], first)
+                        most[named == ids[query]] = -np.inf
+                        bar = np.partition(most, -k)[-k] if len(most) > k else -np.inf
+                        near = np.flatnonzero((most >= bar - 2 * loss[row]) & (most > -np.inf))
+                        if not len(near):
+                            continue
+                        size = (last - first)[near]
+                        starts = np.cumsum(size) - size
+                        rows = np.repeat(first[near] - starts, size) + np.arange(size.sum())
+                        # Each product by itself, added up in one fixed order.
+                        exact = (x[rest[rows]] * x[query]).sum(1)
+                        score = np.maximum.reduceat(exact, starts)
+                        best = _best(score, named[near], k)
+                        found.append((np.full(len(best), ids[query]), named[near][best], score[best]))
                 if found:
                     query, vec, score = (np.concatenate(c) for c in zip(*found, strict=True))
                     yield _rows(
