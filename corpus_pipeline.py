@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotbook.llm import jaccard, packing, quality, secrets, toxicity
-from lotbook.llm.common import table, text_of, written
+from lotbook.llm.common import numbered, table, text_of, written
 from lotbook.llm.queries import WORD_BPE
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,17 +25,22 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def reject_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose quality score reaches the bar, as they are."""
+    """Rows whose quality score reaches the bar, as they are. A null text counts as empty."""
     chain = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
     return docs.filter(quality.quality(chain, text_of()) >= quality.LEAST_SCORE)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies the document of the least id; rows with a null id stay.
-    Rows that repeat that id stay with it."""
-    found = jaccard.jaccard_components(docs)
-    dropped = found.filter("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(dropped.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near copies one row, whatever its id: the one of the least doc_id, null
+    ids last, and of its repeats the first in the table's files. Rows that share an id and differ
+    in text belong to the groups of their texts. Rows without words stay."""
+    rows = numbered(docs, "_row")
+    found = jaccard.jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"))
+    ids = rows.select("_row", "doc_id")
+    groups = found.withColumnRenamed("doc_id", "_row").join(ids.hint("merge"), "_row")
+    least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row")))
+    kept = groups.groupBy("component_id").agg(least.alias("least")).select("least._row")
+    return rows.join(kept.hint("merge"), "_row", "left_semi").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +54,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every document and their places in sequences."""
+    """The pieces of every row and their places in sequences; a null or empty text is one end
+    id, and ids may be null or repeat."""
     return packing.pack(docs, WORD_BPE)
 
 
@@ -66,6 +72,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; an empty table gives no rows."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotbook.session import shared_folder
+from lotbook.session import scratch as scratch
+from lotbook.session import written as written
 
 FOLDS = 5
 
@@ -18,19 +18,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4()}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame written as Parquet to the shared folder and read back.
-
-    Later steps depend on files that survive a lost executor, not on shuffle output.
-    """
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def numbered(df: DataFrame, into: str) -> DataFrame:
+    """The rows of a table of files with a number each, the same whenever and wherever they are
+    read: the place of the file among the table's, and of the row in the file. A frame that is
+    not read from files is written first."""
+    try:
+        df.select("_metadata.row_index")
+    except AnalysisException:
+        df = written(df, "numbered")
+    path = F.xxhash64("_metadata.file_path")
+    # One row per file; Spark's driver lists them anyway.
+    files = sorted(r[0] for r in df.select("_metadata.file_path").distinct().collect())
+    places = df.sparkSession.createDataFrame(list(enumerate(files)), "_place long, _path string")
+    places = places.select("_place", F.xxhash64("_path").alias("_path"))
+    keyed = df.select("*", path.alias("_path"), F.col("_metadata.row_index").alias("_index"))
+    number = F.shiftleft("_place", 40) + F.col("_index")
+    return keyed.join(F.broadcast(places), "_path").select(*df.columns, number.alias(into))
 
 
 def fold(doc_id: Column) -> Column:
@@ -46,10 +49,11 @@ def text_of(column: str = "text") -> Column:
 def training_rows(
     docs: DataFrame, labels: DataFrame, label: str, rows: int
 ) -> DataFrame:
-    """(text, label) of at most about ``rows`` labelled documents outside the held-out fold.
+    """(id, text, label) of at most about ``rows`` labelled documents outside the held-out fold.
 
     Which ones depends on a hash of the id alone, so a re-run takes the same ones. Null labels
-    and ids take no part; an id that repeats counts once per table.
+    and ids take no part; an id that repeats counts once, with its greatest label and, of its
+    texts, the first in order.
     """
     marked = (
         labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label"))
@@ -63,7 +67,8 @@ def training_rows(
         marked = marked.filter(F.pmod(F.xxhash64("id"), F.lit(scale)) < scale * rows // total)
     texts = docs.select(F.col("doc_id").alias("id"), text_of().alias("text"))
     # Text stays put: the marks are bounded by the parameter.
-    return texts.join(F.broadcast(marked), "id").select("id", "text", "label")
+    found = texts.join(F.broadcast(marked), "id")
+    return found.groupBy("id", "label").agg(F.min("text").alias("text")).select("id", "text", "label")
 
 
 # --- words of many texts at once -------------------------------------------------------------

@@ -246,14 +246,14 @@ def calibrate(share: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 
 
 def within(documents: list[tuple[int, int, int]], lines: int) -> set[int]:
-    """Ids of the first whole documents, (id, label, lines) each, that hold ``lines`` lines, and
-    more of them until both labels are met."""
+    """Ids of whole documents, (id, label, lines) each, that hold ``lines`` lines at most: first
+    the shortest of each label, then the others as they come, those that do not fit left out."""
     taken: set[int] = set()
-    met: set[int] = set()
-    for number, label, n in documents:
-        if lines > 0 or label not in met or number in taken:
+    shortest = {label: min(d[::-1] for d in documents if d[1] == label) for label in {d[1] for d in documents}}
+    first = [(number, label, n) for n, label, number in sorted(shortest.values())]
+    for number, _, n in [*first, *documents]:
+        if number not in taken and n <= lines:
             taken.add(number)
-            met.add(label)
             lines -= n
     return taken
 
@@ -262,7 +262,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
     """The chain learnt from labelled documents outside the held-out fold.
 
     Fitted on the driver from line features, 16 numbers a line, of whole documents: at most about
-    ``train_rows``, and fewer if they have more than ``TRAIN_LINES`` lines on average. Without
+    ``train_rows`` of them, and ``TRAIN_LINES`` times as many lines; a document that would pass
+    this bound is left out. Without
     labels of both kinds every document is called good.
     """
 

@@ -64,13 +64,29 @@ def test_all_kept_is_packed(steps):
     assert packed.keys() == texts(steps[4]).keys()
 
 
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score int, _row int"
+
+
 def test_odd_rows_pass(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, score int"
-    rows = [(None, "id is null", None, None, None, 1), (1, None, "en", "s", None, 1)]
-    rows += [(2, "", "en", "s", 0, 1), (3, "Some plain text.", "en", "s", 16, 1)] * 2
-    docs = spark.createDataFrame(rows, schema)
+    rows = [(None, "id is null", None, None, None, 1, 1), (1, None, "en", "s", None, 1, 1)]
+    rows += [(2, "", "en", "s", 0, 1, 1), (3, "Some plain text.", "en", "s", 16, 1, 1)] * 2
+    rows += [(4, "A long text of words. " * 20_000, "en", "s", 0, 1, 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns
         assert stage(spark, docs.limit(0), SF).count() == 0
-    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, SF)
-    assert kept.count() == docs.count()
+    assert corpus_pipeline.pack(spark, docs.limit(0), SF).count() == 0
+    packed = corpus_pipeline.pack(spark, docs, SF).groupBy("doc_id").sum("length").collect()
+    assert {r[0]: r[1] for r in packed}.keys() == {None, 1, 2, 3, 4}
+
+
+def test_rows_are_judged_one_by_one(spark):
+    """Ids that repeat with other texts, copies without an id, repeated rows, blank texts."""
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    c, d = "fourteen fifteen sixteen seventeen eighteen", "all alone in this small table"
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (None, c), (None, d), (None, d), (4, ""), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 1, 9) for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs.repartition(4), SF)
+    found = sorted([(r.doc_id, r.text) for r in kept.collect()], key=repr)
+    assert found == sorted([(1, a), (2, b), (3, c), (None, d), (4, ""), (4, "")], key=repr)
+    assert kept.columns == docs.columns
