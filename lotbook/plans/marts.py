@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotbook.functions import ExactSum, outside, surrogate_key
-from lotbook.operators import named_members
 from lotbook.plans.entities import COMPONENTS, VERSION
 from lotbook.quality.metrics import (
     COMPONENTS_PER_RECIPE,
@@ -287,15 +286,20 @@ def _sales_by(
 
 
 def _with_component_names(parts: DataFrame, gold: Tables) -> DataFrame:
-    names = named_members(
-        {
-            kind: (gold[dim], (f"{kind}_sk", f"{kind}_name"))
-            for kind, dim in COMPONENTS.items()
-        },
-        "component_type",
-        ("component_sk", "component_name"),
+    """The name of each component, by its type.
+
+    Each dimension holds a key once, so all three are looked up by the same key: the parts move
+    once, and a dimension that is bucketed by its key not at all.
+    """
+    for kind, dim in COMPONENTS.items():
+        names = gold[dim].select(
+            F.col(f"{kind}_sk").alias("component_sk"), F.col(f"{kind}_name").alias(f"_{kind}")
+        )
+        parts = parts.join(names, "component_sk", "left")
+    name = F.coalesce(
+        *(F.when(F.col("component_type") == kind, F.col(f"_{kind}")) for kind in COMPONENTS)
     )
-    return parts.join(names, ["component_type", "component_sk"], "left")
+    return parts.withColumn("component_name", name).drop(*(f"_{kind}" for kind in COMPONENTS))
 
 
 def _with_recipe_id(profile: DataFrame, gold: Tables) -> DataFrame:

@@ -47,7 +47,19 @@ def read_silver(warehouse: Warehouse) -> dict[str, DataFrame]:
 
 
 def read_gold(warehouse: Warehouse) -> dict[str, DataFrame]:
-    return {t: warehouse.read("gold", t, schema) for t, schema in GOLD_SCHEMAS.items()}
+    return {table: _read(warehouse, table) for table in GOLD_SCHEMAS}
+
+
+def _read(warehouse: Warehouse, table: str) -> DataFrame:
+    """Versioned dimensions by their buckets: marts look them up by surrogate key."""
+    schema = GOLD_SCHEMAS[table]
+    if table in VERSIONED:
+        return warehouse.read_bucketed("gold", table, schema, _key(table))
+    return warehouse.read("gold", table, schema)
+
+
+def _key(table: str) -> str:
+    return f"{table.removeprefix('dim_')}_sk"
 
 
 def read_silver_metrics(warehouse: Warehouse) -> DataFrame:
@@ -74,9 +86,12 @@ def rebuild_gold(warehouse: Warehouse) -> None:
     gold: dict[str, DataFrame] = {}
 
     def build(table: str, make: Callable[[], DataFrame]) -> None:
-        by_batch = VERSION if table.startswith("fact_") else None
-        warehouse.replace("gold", table, make(), by_batch)
-        gold[table] = warehouse.read("gold", table, GOLD_SCHEMAS[table])
+        if table in VERSIONED:
+            warehouse.replace_bucketed("gold", table, make(), _key(table))
+        else:
+            by_batch = VERSION if table.startswith("fact_") else None
+            warehouse.replace("gold", table, make(), by_batch)
+        gold[table] = _read(warehouse, table)
 
     def dimension(table: str) -> Callable[[], None]:
         entity = VERSIONED[table]

@@ -1,8 +1,14 @@
-"""Warehouse tables as Parquet folders, one folder per layer and table."""
+"""Warehouse tables as Parquet folders, one folder per layer and table.
+
+A bucketed table is cut and sorted by a key when it is written, so that lookups on that key move
+the other side only. Its folder reads like any other; the buckets are known through an external
+table in the session's catalog, made again where a session does not have it.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from zlib import crc32
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +19,8 @@ from pyspark.sql import functions as F
 class Warehouse:
     spark: SparkSession
     root: str
+    #: Of each bucketed table; a folder keeps the number it was written with.
+    buckets: int = 16
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -47,6 +55,25 @@ class Warehouse:
             writer = writer.partitionBy(partition_by)
         writer.parquet(self.path(layer, table))
 
+    def replace_bucketed(self, layer: str, table: str, df: DataFrame, key: str) -> None:
+        """Rebuild a table in buckets of ``key``, one file each. Meant for keys that do not
+        repeat: a bucket holds all rows of its keys."""
+        writer = df.repartition(self.buckets, key).write.mode("overwrite")
+        writer = writer.bucketBy(self.buckets, key).sortBy(key).option("path", self.path(layer, table))
+        writer.saveAsTable(self._name(layer, table))
+
+    def read_bucketed(self, layer: str, table: str, schema: str, key: str) -> DataFrame:
+        name = self._name(layer, table)
+        self.spark.sql(
+            f"create table if not exists {name} ({schema}) using parquet clustered by ({key}) "
+            f"sorted by ({key}) into {self.buckets} buckets location '{self.path(layer, table)}'"
+        )
+        return self.spark.table(name).select(*(part.split()[0] for part in schema.split(", ")))
+
+    def _name(self, layer: str, table: str) -> str:
+        """One name per folder: a session may open several warehouses."""
+        return f"{layer}_{table}_{crc32(self.root.encode()):08x}"
+
     def expose(self, layer: str, table: str, schema: str) -> DataFrame:
         """Register a table as a view ``<layer>_<table>`` for SQL users."""
         df = self.read(layer, table, schema)

@@ -14,10 +14,11 @@ from lotbook.operators import (
     lookups,
     versioned_dimension,
 )
-from lotbook.plans import marts
+from lotbook.plans import marts, rebuild
 from lotbook.plans.entities import GOLD_SCHEMAS
 from lotbook.plans.rebuild import LazyGold
 from lotbook.quality import checks, metrics, suite
+from lotbook.sources import Warehouse
 from workload.registry import QUERIES, Silver
 
 SMALLEST = "/root/testdata/sf0.001"
@@ -150,6 +151,31 @@ def test_recipes_are_profiled_in_one_exchange(written, spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_lookups_by_surrogate_key_leave_dimensions_in_place(spark, tmp_path):
+    """With broadcasts off, only parts of the fact move: to the recipe, to the names, to order."""
+    warehouse = Warehouse(spark, f"{tmp_path}/warehouse", buckets=4)
+    for table, schema in GOLD_SCHEMAS.items():
+        empty = spark.createDataFrame([], schema)
+        if table in rebuild.VERSIONED:
+            warehouse.replace_bucketed("gold", table, empty, f"{table.removeprefix('dim_')}_sk")
+        else:
+            warehouse.replace("gold", table, empty)
+    gold = rebuild.read_gold(warehouse)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(marts.recipe_constituents(gold, "R1", 3)) == 3
+        assert exchanges(marts.recipes_using(gold, 3, "flavour", 7)) == 2
+        for mart, asked in (
+            (marts.recipe_constituents, ("R1", 3)),
+            (marts.recipes_using, (3, "flavour", 7)),
+        ):
+            plan = plan_of(mart(gold, *asked))
+            dimensions = re.findall(r"FileScan parquet spark_catalog\S+dim_.*", plan)
+            assert dimensions and all("Bucketed: true" in scan for scan in dimensions)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("mart", [marts.top_customers, marts.top_flavours, marts.top_countries])
 def test_sums_are_taken_before_the_join(written, mart):
     plan = operators(mart(written))
