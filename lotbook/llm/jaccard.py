@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotbook.llm.common import (
@@ -20,7 +20,6 @@ from lotbook.llm.common import (
     group_slices,
     mix,
     text_of,
-    tiled,
     whole_groups,
     written,
 )
@@ -38,7 +37,11 @@ LOCAL_GROUP = 32
 TILE_ROWS = 2048
 #: Partners that a set tries at first where its group is not connected.
 FIRST_PARTNERS = 8
+#: Ids sent to every task at most, 8 bytes each; counted before.
+MOST_SENT_IDS = 1 << 20
 _MOST_BITS = 1 << 16
+#: Shingles of a task that are counted together.
+_COUNTED_AT_ONCE = 1 << 21
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -141,16 +144,28 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
     """Ascending hashes of shingles that many documents hold, among those in the counted part.
 
     They go last in the order of prefixes, so that a passage found in much of the corpus makes
-    no candidates. Every document counts. A shingle is common if it has more than one in
-    ``MOST_COMMON`` of all counted rows, so there are fewer than that, whatever the size.
+    no candidates. Every document is read; a task counts what it meets again among some millions
+    of shingles, as what it meets once is not common, and only that is shuffled. A shingle is
+    common if it has more than one in ``MOST_COMMON`` of all counted rows, so there are fewer than
+    that, whatever the size.
     """
     top = int(-(1 << 63) + COUNTED_PART * (1 << 64))
 
+    def repeated(low: list[np.ndarray]) -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate([*low, np.zeros(0, np.int64)]), return_counts=True)
+        again = n > 1
+        return _rows(shingle=pa.array(found[again]), n=pa.array(n[again].astype(np.int64)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low: list[np.ndarray] = []
+        waiting = 0
         for _, sets in _sets_of(batches):
-            low = [s[: np.searchsorted(s, top)] for s in sets]
-            found, n = np.unique(np.concatenate([*low, np.zeros(0, np.int64)]), return_counts=True)
-            yield _rows(shingle=pa.array(found), n=pa.array(n.astype(np.int64)))
+            low += [s[: np.searchsorted(s, top)] for s in sets]
+            waiting += sum(map(len, low[len(low) - len(sets) :]))
+            if waiting >= _COUNTED_AT_ONCE:
+                yield repeated(low)
+                low, waiting = [], 0
+        yield repeated(low)
 
     texts = docs.select(F.lit(0).alias("id"), text_of().alias("text"))
     counted = (
@@ -184,12 +199,15 @@ def prefix(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def stars(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(shingle, a, b): set b shares the prefix shingle with set a, the centre of its group.
+    """(shingle, a, n_a, b, n_b, more, open): set b shares the prefix shingle with set a, the centre
+    of its group; n_a and n_b are their sizes. ``more``: the group has other centres. ``open``: b may
+    link to members that it has not met in its group; where the whole group is seen, only those
+    whose size another member's is near.
 
     Sets go by key; copies within a task count once. Where a task itself has a large group, it
     gives its members to one of them, and that one alone meets the other tasks' members, so no
     task receives more than a few rows of each task for any shingle. Rows that are settled
-    already travel under a key of their own.
+    already travel under a key of their own. Groups arrive sorted and pass by one after another.
     """
     spark = docs.sparkSession
     common = spark.sparkContext.broadcast(common)
@@ -199,25 +217,30 @@ def stars(docs: DataFrame, common: np.ndarray) -> DataFrame:
         seen: set[int] = set()
         held: list[np.ndarray] = []
         owners: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         waiting = 0
 
         def flush() -> pa.RecordBatch:
-            shingle, owner = np.concatenate(held), np.concatenate(owners)
-            held.clear()
-            owners.clear()
+            shingle, owner, n = map(np.concatenate, (held, owners, sizes))
+            for kept in (held, owners, sizes):
+                kept.clear()
             order = np.lexsort((owner, shingle))
-            shingle, owner = shingle[order], owner[order]
+            shingle, owner, n = shingle[order], owner[order], n[order]
             first = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
             size = np.diff(np.r_[first, len(shingle)])
             start = np.repeat(first, size)
-            settled = (np.repeat(size, size) > LOCAL_GROUP) & (np.arange(len(start)) != start)
+            more = np.repeat(size, size) > LOCAL_GROUP
+            settled = more & (np.arange(len(start)) != start)
             with np.errstate(over="ignore"):
                 own = mix((owner ^ shingle).view(np.uint64)).view(np.int64)
             return _rows(
                 to=pa.array(np.where(settled, own, shingle)),
                 shingle=pa.array(shingle),
                 a=pa.array(owner[start], mask=~settled),
+                n_a=pa.array(n[start]),
                 b=pa.array(owner),
+                n_b=pa.array(n),
+                more=pa.array(more),
             )
 
         for _, sets in _sets_of(batches):
@@ -230,6 +253,7 @@ def stars(docs: DataFrame, common: np.ndarray) -> DataFrame:
                 seen.add(key)
                 held.append(prefix(s, common.value))
                 owners.append(np.full(len(held[-1]), key, dtype=np.int64))
+                sizes.append(np.full(len(held[-1]), len(s), dtype=np.int32))
                 waiting += len(held[-1])
             if waiting >= 1 << 20:
                 yield flush()
@@ -237,47 +261,71 @@ def stars(docs: DataFrame, common: np.ndarray) -> DataFrame:
         if held:
             yield flush()
 
+    columns = ["shingle", "a", "n_a", "b", "n_b", "more", "open"]
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, keys = [], []
-        for batch in batches:
-            done = batch.filter(batch.column("a").is_valid())
+        for part in whole_groups(batches, "to"):
+            done = part.filter(part.column("a").is_valid())
             if done.num_rows:
-                yield done.select(["shingle", "a", "b"])
-            rest = batch.filter(batch.column("a").is_null())
-            shingles.append(rest.column("shingle").to_numpy())
-            keys.append(rest.column("b").to_numpy())
-        if not shingles:
-            return
-        shingle, key = np.concatenate(shingles), np.concatenate(keys)
-        shingles.clear()
-        keys.clear()
-        order = np.lexsort((key, shingle))
-        shingle, key = shingle[order], key[order]
-        del order
-        fresh = np.r_[True, shingle[1:] != shingle[:-1]] if len(shingle) else np.zeros(0, bool)
-        centre = key[np.maximum.accumulate(np.where(fresh, np.arange(len(key)), 0))]
-        member = key != centre
-        member[1:] &= (key[1:] != key[:-1]) | fresh[1:]
-        for at in np.array_split(np.flatnonzero(member), max(1, int(member.sum()) >> 18)):
+                done = done.append_column("open", done.column("more"))
+                yield from done.select(columns).to_batches()
+            rest = part.filter(part.column("a").is_null())
+            if not rest.num_rows:
+                continue
+            shingle, key, n = (rest.column(c).to_numpy() for c in ("shingle", "b", "n_b"))
+            more = rest.column("more").to_numpy().astype(bool)
+            fresh = np.r_[True, shingle[1:] != shingle[:-1]]
+            first = np.flatnonzero(fresh)
+            group = np.cumsum(fresh) - 1
+            centre = first[group]
+            more = np.logical_or.reduceat(more, first)[group]
+            member = key != key[centre]
+            member[1:] &= (key[1:] != key[:-1]) | fresh[1:]
+            at = np.flatnonzero(member)
             yield _rows(
-                shingle=pa.array(shingle[at]), a=pa.array(centre[at]), b=pa.array(key[at])
+                shingle=pa.array(shingle[at]),
+                a=pa.array(key[centre[at]]),
+                n_a=pa.array(n[centre[at]]),
+                b=pa.array(key[at]),
+                n_b=pa.array(n[at]),
+                more=pa.array(more[at]),
+                open=pa.array(more[at] | near_in_size(group[at], n[at])),
             )
 
-    rows = texts.mapInArrow(emit, "to long, shingle long, a long, b long")
-    return rows.repartition("to").mapInArrow(meet, "shingle long, a long, b long")
+    rows = texts.mapInArrow(
+        emit, "to long, shingle long, a long, n_a int, b long, n_b int, more boolean"
+    )
+    met = rows.repartition("to").sortWithinPartitions("to", "b")
+    return met.mapInArrow(
+        meet, "shingle long, a long, n_a int, b long, n_b int, more boolean, open boolean"
+    )
+
+
+def near_in_size(group: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which rows have another row of their group whose size is within the ratio of a link. The
+    nearest sizes are next to each other in order."""
+    order = np.lexsort((n, group))
+    g, size = group[order], n[order].astype(np.int64)
+    fits = (g[1:] == g[:-1]) & (5 * size[:-1] >= 4 * size[1:])
+    found = np.zeros(len(n), dtype=bool)
+    found[order[1:]] |= fits
+    found[order[:-1]] |= fits
+    return found
+
+
+#: Sizes that a linked pair can have.
+_SIZES_FIT = "4L * greatest(n_a, n_b) <= 5L * least(n_a, n_b)"
 
 
 # --- verification ------------------------------------------------------------------------------
 
 
 def near_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of keys that sizes and bitmaps do not rule out."""
+    """Pairs (a, b) of keys that bitmaps do not rule out; their sizes have been tested."""
     side = lambda s: classes.select(
         F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}")
     )
     both = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
-    # Equal sets need no check of bits; sizes beyond the ratio cannot link.
-    both = both.filter("4 * greatest(n_a, n_b) <= 5 * least(n_a, n_b)")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,7 +350,12 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     Sets are made again from one text per class, for classes in some pair only.
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    named = classes.select("key", F.col("rep").alias("id")).join(wanted, "key", "left_semi")
+    named = classes.select("key", F.col("rep").alias("id")).join(
+        wanted.hint("merge"), "key", "left_semi"
+    )
+    named = written(named.select("id").distinct(), "wanted")
+    # Counted: few ids go to the texts, else the texts to the ids.
+    few = named.count() <= MOST_SENT_IDS
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,7 +367,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 
     # An id may stand in several rows; rows of other texts give sets that no pair asks for, and
     # rows of the same text the same set.
-    chosen = texts.join(named.select("id").distinct().hint("merge"), "id")
+    chosen = texts.join(F.broadcast(named) if few else named.hint("merge"), "id")
     sets = chosen.mapInArrow(make, "key long, shingles binary").dropDuplicates(["key"])
     sets = written(sets, "shingle-sets")
     side = lambda s: sets.select(F.col("key").alias(s), F.col("shingles").alias(f"set_{s}"))
@@ -373,47 +426,106 @@ def tile_pairs(
     return np.sort(np.concatenate(found), axis=1)
 
 
+def group_members(star: DataFrame) -> DataFrame:
+    """(shingle, key, n) of the sets that may link to members of a group which they have not met.
+
+    A centre has met all members of its group, unless the group has more centres.
+    """
+    end = lambda e: F.struct(F.col(e).alias("key"), F.col(f"n_{e}").alias("n"))
+    ends = F.when(F.col("more"), F.array(end("b"), end("a"))).otherwise(F.array(end("b")))
+    members = star.filter("open").select("shingle", F.explode(ends).alias("m"))
+    return members.select("shingle", "m.*").distinct()
+
+
+def open_groups(members: DataFrame, reached: DataFrame) -> DataFrame:
+    """(shingle, key, n, component) of groups whose members are not all in one component. Once
+    closed a group stays closed, so the next round looks at what this one leaves."""
+    known = reached.select(F.col("node").alias("key"), F.col("component").alias("own"))
+    placed = (
+        members.select("shingle", "key", "n")
+        .join(known.hint("merge"), "key", "left")
+        .select("shingle", "key", "n", F.coalesce("own", "key").alias("component"))
+    )
+    mixed = (
+        placed.groupBy("shingle")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low <> high")
+        .select("shingle")
+    )
+    return placed.join(mixed.hint("merge"), "shingle", "left_semi")
+
+
+def size_banded(members: DataFrame) -> DataFrame:
+    """``members`` (shingle, key, n, component) with (tile, block): the pairs of a group whose sizes
+    may link meet in tiles of bounded size.
+
+    Sizes fall into bands, of which only a band itself and the two beside it can hold linked sets.
+    A member without another component in these has no partner. A group of up to ``TILE_ROWS``
+    rows is one tile; a larger one is cut into its bands, and a band into blocks by a hash; a tile
+    is a pair of blocks of bands that may link. Tiles of sizes apart are never made.
+    """
+    # A little wider than the greatest ratio, so that rounding never parts a linked pair.
+    band = F.floor(F.log("n") / F.log(F.lit(1.26))).cast("int")
+    rows = members.withColumn("band", band)
+    counts = rows.groupBy("shingle", "band").agg(
+        F.count("*").alias("rows"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+    )
+    blocks = F.ceil(F.col("rows") / TILE_ROWS).cast("int").alias("blocks")
+    # As many bands as a factor of 1.26 has powers up to the longest text.
+    groups = counts.groupBy("shingle").agg(
+        F.sum("rows").alias("size"),
+        F.map_from_entries(F.collect_list(F.struct("band", F.struct(blocks, "low", "high")))).alias(
+            "bands"
+        ),
+    )
+    beside = [F.try_element_at("bands", F.col("band") + step) for step in (-1, 0, 1)]
+    met = rows.join(groups.hint("merge"), "shingle").filter(
+        F.least(*(b["low"] for b in beside)) < F.greatest(*(b["high"] for b in beside))
+    )
+    small = F.col("size") <= TILE_ROWS
+    of = lambda step: F.coalesce(beside[step + 1]["blocks"], F.lit(0))
+    at = F.pmod(F.xxhash64("key"), of(0)).cast("int")
+
+    def tiles(step: int, make) -> Column:
+        others = F.when(of(step) > 0, F.sequence(F.lit(0), of(step) - 1))
+        return F.transform(F.coalesce(others, F.array().cast("array<int>")), make)
+
+    low_band, high_band = F.col("band") - 1, F.col("band") + 1
+    banded = F.concat(
+        tiles(0, lambda j: F.xxhash64("shingle", "band", F.least("at", j), "band", F.greatest("at", j))),
+        tiles(1, lambda j: F.xxhash64("shingle", "band", "at", high_band, j)),
+        tiles(-1, lambda j: F.xxhash64("shingle", low_band, j, "band", "at")),
+    )
+    tile = F.when(small, F.array(F.xxhash64("shingle"))).otherwise(banded)
+    return (
+        met.withColumn("at", F.when(small, 0).otherwise(at))
+        .withColumn("tile", F.explode(tile))
+        .withColumn("block", F.when(small, 0).otherwise(F.col("band") * (1 << 20) + F.col("at")))
+    )
+
+
 def open_pairs(
-    star: DataFrame,
+    groups: DataFrame,
     classes: DataFrame,
-    component: DataFrame,
     pick: Callable | None = None,
     partners: int | None = None,
 ) -> DataFrame:
     """Pairs of sets that share a prefix shingle, lie in different components so far, and are
-    not ruled out by size band or bitmap. With ``pick`` (least or greatest) each set stays with
-    one of its shingles, where near copies mostly meet, and with ``partners`` it tries only so
-    many sets there.
+    not ruled out by size band or bitmap. ``groups`` are open ones. With ``pick`` (least or
+    greatest) each set stays with one of its shingles, where near copies mostly meet, and with
+    ``partners`` it tries only so many sets there.
 
-    Groups whose members are all connected are done, and those of two have been compared. The
-    others are cut into tiles: members go to blocks by a hash, and each pair of blocks is a tile,
-    so the rows of a tile do not grow with the group.
+    Groups are cut into tiles, so that the rows of a tile do not grow with the group.
     """
-    members = star.select("shingle", F.explode(F.array("a", "b")).alias("key")).distinct()
-    reached = component.withColumnRenamed("node", "key").hint("merge")
-    placed = members.join(reached, "key", "left").select(
-        "shingle", "key", F.coalesce("component", F.col("key")).alias("component")
-    )
-    mixed = (
-        placed.groupBy("shingle")
-        .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.count("*").alias("size"),
-        )
-        .filter("low <> high and size > 2")
-        .select("shingle", "size")
-    )
-    open_members = placed.join(mixed.hint("merge"), "shingle")
+    members = groups
     if pick is not None:
-        open_members = open_members.groupBy("key", "component").agg(
-            pick(F.struct("shingle", "size")).alias("own")
-        )
-        open_members = open_members.select("key", "component", "own.*")
+        members = members.groupBy("key", "n", "component").agg(pick("shingle").alias("shingle"))
     rows = (
-        tiled(open_members, "shingle", "key", F.col("size"), TILE_ROWS)
-        .join(classes.select("key", "n", "bits").hint("merge"), "key")
-        .select("tile", "n", "key", "component", "block", "bits")
+        size_banded(members)
+        .join(classes.select("key", "bits").hint("merge"), "key")
+        .select("tile", F.col("n").cast("long"), "key", "component", "block", "bits")
         .repartition("tile")
         .sortWithinPartitions("tile", "n", "key")
     )
@@ -433,6 +545,29 @@ def open_pairs(
     return rows.mapInArrow(run, "a long, b long")
 
 
+def joined_components(reached: DataFrame, links: DataFrame) -> DataFrame:
+    """``reached`` (node, component) after more links: components are joined, not nodes."""
+    known = {
+        end: reached.select(F.col("node").alias(end), F.col("component").alias(f"own_{end}"))
+        for end in ("a", "b")
+    }
+    for end, own in known.items():
+        links = links.join(own.hint("merge"), end, "left")
+    ends = [F.coalesce(f"own_{end}", F.col(end)).alias(end) for end in known]
+    merged = components(links.select(*ends).distinct()).withColumnRenamed("node", "old")
+    merged = merged.withColumnRenamed("component", "new")
+    # Nodes that no link has reached before are their own components.
+    fresh = merged.join(
+        reached.select(F.col("node").alias("old")).hint("merge"), "old", "left_anti"
+    ).select(F.col("old").alias("node"), F.col("new").alias("component"))
+    moved = (
+        reached.withColumnRenamed("component", "old")
+        .join(merged.hint("merge"), "old", "left")
+        .select("node", F.coalesce("new", "old").alias("component"))
+    )
+    return written(moved.unionByName(fresh), "reached")
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): (doc_id, n_shingles, component_id).
 
@@ -460,15 +595,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     def check(pairs: DataFrame) -> DataFrame:
         return written(verified(written(pairs, "near-pairs"), classes, known), "jaccard-links")
 
-    links = check(near_pairs(star.select("a", "b").distinct(), classes))
-    reached = components(links)
+    first = star.filter(_SIZES_FIT).select("a", "b").distinct()
+    reached = written(components(check(near_pairs(first, classes))), "reached")
+    groups = group_members(star)
     # A few partners first: in a large group of near copies nearly every set finds a link among
     # them, so that few are left for the comparison with all.
     for pick, partners in ((F.min, FIRST_PARTNERS), (F.max, FIRST_PARTNERS), (None, None)):
-        more = check(open_pairs(star, classes, reached, pick, partners).distinct())
+        groups = written(open_groups(groups, reached), "open-groups")
+        more = check(open_pairs(groups, classes, pick, partners).distinct())
         if not more.isEmpty():
-            links = links.unionByName(more)
-            reached = components(links)
+            reached = joined_components(reached, more)
     # Components of keys become those of ids: the least id of a component's classes.
     named = classes.join(
         reached.select(F.col("node").alias("key"), "component").hint("merge"), "key", "left"

@@ -212,3 +212,20 @@ def test_nearest_odd_tables(spark, monkeypatch):
             want.sort(key=lambda w: (-w[0], w[1]))
             assert [(r.score, r.vec_id) for r in mine] == want
     assert ann.nearest(spark.createDataFrame([], VECTORS)).collect() == []
+
+
+def test_nearest_ties_and_repeated_ids(spark):
+    """Copies of one vector tie whatever tile they lie in; of an id's vectors the best counts."""
+    rng = np.random.default_rng(6)
+    one = [float(np.float32(v)) for v in rng.normal(size=37)]
+    other = [-v for v in one]
+    rows = [(i, one, 1, 1, 1) for i in range(1, 300)] + [(40, other, 1, 1, 1), (300, other, 1, 1, 1)]
+    rows += [(301, other, 1, 1, 1), (301, [2 * v for v in one], 1, 1, 1)]
+    found = ann.nearest(spark.createDataFrame(rows, VECTORS).repartition(5), k=8, probes=64)
+    score = float((np.array(one) * np.array(one)).sum())
+    for query, group in found.toPandas().sort_values("rank").groupby("query_id"):
+        if query == 300:
+            assert group.vec_id.tolist()[0] == 40 and group.score.tolist()[:2] == [score] * 2
+            continue
+        near = [301, *[i for i in range(1, 20) if i != query][:7]]
+        assert group.vec_id.tolist() == near and set(group.score.tolist()[1:]) == {score}
