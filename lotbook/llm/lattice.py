@@ -14,6 +14,10 @@ from lotbook.llm.common import group_slices, mix, tiled, whole_groups, written
 from lotbook.llm.components import components
 
 LEAST_COSINE = 0.95
+#: Share of the pairs at the bar that no table may bring together, and others that a row meets by
+#: chance at most.
+MISSED, MET = 1e-5, 64
+_MOST_BLOCKS = 8
 #: Rows of a block; a cell with more is compared block by block.
 BLOCK_ROWS = 2048
 
@@ -64,6 +68,57 @@ class LatticeHash:
     width: float = 2.4
     seed: int = 5
 
+    @classmethod
+    def for_rows(cls, rows: int, least: float, missed: float = MISSED) -> LatticeHash:
+        """As few blocks as keep the others that a row meets by chance below ``MET``, and as many
+        tables as miss no more than the share ``missed`` of pairs at the bar.
+
+        Blocks grow with the logarithm of the rows, so a row's chance partners do not grow with
+        them. What a block and a table do is measured on made vectors.
+        """
+        for blocks in range(1, _MOST_BLOCKS + 1):
+            one = cls(tables=4, blocks=blocks)
+            found = one.share_met(least)
+            tables = int(np.ceil(np.log(missed) / np.log(max(1 - found, 1e-9))))
+            if rows * tables * one.met_by_chance() <= MET:
+                break
+        return cls(tables=max(tables, 2), blocks=blocks)
+
+    def share_met(self, cosine: float, pairs: int = 2000) -> float:
+        """Share of pairs of this cosine that share a cell of one table."""
+        rng = np.random.default_rng(self.seed)
+        x, y = rng.standard_normal((2, pairs, 32))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        y -= (x * y).sum(1, keepdims=True) * x
+        y /= np.linalg.norm(y, axis=1, keepdims=True)
+        a, b = self.cells(x), self.cells(cosine * x + np.sqrt(1 - cosine**2) * y)
+        return float((a[:, :, :, None] == b[:, :, None, :]).any((2, 3)).mean())
+
+    def met_by_chance(self, rows: int = 1500) -> float:
+        """Cells of one table that two vectors at random are expected to share.
+
+        Two rows' cells agree if all blocks do but for those that either probes; a block's own
+        chances are counted over all pairs of made rows.
+        """
+        rng = np.random.default_rng(self.seed)
+        x = rng.standard_normal((rows, 32))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        cells = LatticeHash(4, 1, self.width, self.seed).cells(x)
+        home = probe = both = 0.0
+        for t in range(cells.shape[1]):
+            _, n = np.unique(cells[:, t, 0], return_counts=True)
+            home += float((n * (n - 1)).sum())
+            _, n = np.unique(cells[:, t].ravel(), return_counts=True)
+            every = float((n * (n - 1)).sum())
+            _, n = np.unique(cells[:, t, 1:].ravel(), return_counts=True)
+            both += float((n * (n - 1)).sum())
+            probe += (every - float((n * (n - 1)).sum())) / 2
+        pairs = cells.shape[1] * rows * (rows - 1)
+        a, w = home / pairs, both / pairs
+        s = max(probe - home / 2, 0.0) / pairs
+        b = self.blocks
+        return a**b + b * a ** (b - 1) * (2 * s + w) + b * (b - 1) * a ** max(b - 2, 0) * s**2
+
     def cells(self, x: np.ndarray) -> np.ndarray:
         """Per unit row and table: its home cell and the neighbouring cells that it probes,
         rows x tables x (1 + 2 * blocks). A probe moves one block to its second or third point."""
@@ -145,6 +200,50 @@ def close_pairs(
     return np.sort(np.concatenate(found), axis=1)
 
 
+#: Rows of a tile up to which all its pairs are compared at once with those of other tiles.
+SMALL_TILE = 64
+
+
+def close_in_small(
+    tile: np.ndarray,
+    key: np.ndarray,
+    component: np.ndarray,
+    block: np.ndarray,
+    sketch: np.ndarray,
+    partners: int | None,
+) -> np.ndarray:
+    """As :func:`close_pairs`, for many tiles of few rows: rows that are one place apart, then two,
+    and so on, as long as any of them share a tile."""
+    first = np.r_[True, tile[1:] != tile[:-1]]
+    group = np.cumsum(first) - 1
+    start = np.flatnonzero(first)
+    crossed = np.minimum.reduceat(block, start) != np.maximum.reduceat(block, start)
+    left, right, far = [], [], []
+    for step in range(1, len(tile)):
+        at = np.flatnonzero(tile[step:] == tile[:-step])
+        if not len(at):
+            break
+        to = at + step
+        keep = (component[at] != component[to]) & (key[at] != key[to])
+        keep &= ~crossed[group[at]] | (block[at] != block[to])
+        at, to = at[keep], to[keep]
+        apart = np.bitwise_count(sketch[at] ^ sketch[to]).sum(1)
+        near = apart <= MOST_APART
+        left.append(at[near])
+        right.append(to[near])
+        far.append(apart[near])
+    if not left:
+        return np.zeros((0, 2), np.int64)
+    at, to, apart = map(np.concatenate, (left, right, far))
+    if partners is not None:
+        order = np.lexsort((to, apart, at))
+        at, to = at[order], to[order]
+        fresh = np.r_[True, at[1:] != at[:-1]][: len(at)]
+        place = np.arange(len(at)) - np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
+        at, to = at[place < partners], to[place < partners]
+    return np.sort(np.stack([key[at], key[to]], 1), axis=1)
+
+
 def vector_classes(vectors: DataFrame) -> DataFrame:
     """(embedding, id, copies) of each distinct vector that takes part; its id is the least."""
     finite = F.forall(
@@ -216,12 +315,18 @@ def candidate_pairs(
             tile, key, component, block = (part.column(i).to_numpy() for i in range(4))
             flat = b"".join(part.column(4).to_pylist())
             sketch = np.frombuffer(flat, np.uint8).reshape(len(key), -1)
-            yield _pairs_of(
-                [
-                    close_pairs(key[at], component[at], block[at], sketch[at], partners)
-                    for at in group_slices(tile)
-                ]
-            )
+            groups = group_slices(tile)
+            size = np.array([at.stop - at.start for at in groups])
+            small = np.repeat(size <= SMALL_TILE, size)
+            columns = (tile, key, component, block, sketch)
+            pairs = [
+                close_pairs(key[at], component[at], block[at], sketch[at], partners)
+                for at, n in zip(groups, size, strict=True)
+                if n > SMALL_TILE
+            ]
+            if small.any():
+                pairs.append(close_in_small(*(c[small] for c in columns), partners))
+            yield _pairs_of(pairs)
 
     return rows.mapInArrow(run, "a long, b long").distinct()
 
@@ -300,14 +405,15 @@ def near_duplicates(
     takes no part: no links, no component, not kept. Equal vectors are one while they are
     compared. Other columns are ignored; an empty table gives no rows.
 
-    Vectors meet in the cells of the tables; what shares no cell of any table is not found. With
-    the given parameters one pair in 10,000 at the bar itself is missed, fewer above it (the
-    tests measure it). Links of a component are then counted by comparing all its members, so a
+    Vectors meet in the cells of the tables; what shares no cell of any table is not found. Blocks
+    and tables follow from the number of vectors (``LatticeHash.for_rows``): about one pair in
+    10,000 at the bar itself is missed, most of them by the sketches, fewer above it (the tests
+    measure it). Links of a component are then counted by comparing all its members, so a
     pair that only the tables missed still counts.
     """
-    lattice = lattice or LatticeHash()
     rows = vectors.select(F.col("vec_id").cast("long"), "embedding")
     classes = written(vector_classes(rows), "vector-classes")
+    lattice = lattice or LatticeHash.for_rows(classes.count(), least)
     members = written(cell_members(classes, lattice), "cell-members")
     links = written(
         verified(candidate_pairs(members, None, FIRST_PARTNERS), classes, least), "vector-links"

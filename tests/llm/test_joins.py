@@ -151,6 +151,47 @@ def test_lattice_recall_at_the_bar():
     assert (met & (apart <= lattice.MOST_APART)).mean() > 0.999
 
 
+def test_tables_follow_the_rows():
+    """At every size pairs at the bar are found, and a row meets few others by chance."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(8000, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.normal(size=(1500, 48))
+    z -= (z * x[:1500]).sum(1, keepdims=True) * x[:1500]
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    y = 0.95 * x[:1500] + np.sqrt(1 - 0.95**2) * z
+    apart = np.bitwise_count(lattice.sketches(x[:1500], 5) ^ lattice.sketches(y, 5)).sum(1)
+    blocks = []
+    for rows in (500, 1000, 2000, 4000, 8000):
+        tables = lattice.LatticeHash.for_rows(rows, 0.95)
+        blocks.append(tables.blocks)
+        a, b = tables.cells(x[:1500]), tables.cells(y)
+        met = np.array([np.intersect1d(p, q).size > 0 for p, q in zip(a, b, strict=True)])
+        assert (met & (apart <= lattice.MOST_APART)).mean() > 0.998
+        cells = tables.cells(x[:rows])
+        _, n = np.unique(cells.ravel(), return_counts=True)
+        assert (n * (n - 1)).sum() / rows < 1.5 * lattice.MET
+    assert blocks == sorted(blocks) and blocks[-1] > blocks[0]
+    assert lattice.LatticeHash.for_rows(10**9, 0.95).blocks >= 5
+
+
+def test_small_tiles_at_once_equal_one_by_one():
+    rng = np.random.default_rng(3)
+    tile = np.sort(rng.integers(0, 40, 400))
+    key, component = rng.permutation(400), rng.integers(0, 30, 400)
+    block = np.where(tile % 3 == 0, rng.integers(0, 2, 400), 7)
+    sketch = rng.integers(0, 256, (20, 16)).astype(np.uint8)[rng.integers(0, 20, 400)]
+    sketch[:, 0] ^= rng.integers(0, 4, 400).astype(np.uint8)
+    for partners in (None, 1, 3):
+        at_once = lattice.close_in_small(tile, key, component, block, sketch, partners)
+        single = [
+            lattice.close_pairs(key[t], component[t], block[t], sketch[t], partners)
+            for t in (tile == i for i in np.unique(tile))
+        ]
+        pairs = np.concatenate(single)
+        assert len(pairs) and sorted(map(tuple, at_once)) == sorted(map(tuple, pairs))
+
+
 def test_near_duplicates(spark, monkeypatch):
     rng = np.random.default_rng(6)
     centres = rng.normal(size=(8, 16))
