@@ -4,13 +4,12 @@ for the end-of-document id."""
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from lotbook.llm.common import chunked, text_of
 from lotbook.llm.tokens import word_tokenizer
@@ -19,50 +18,53 @@ from lotbook.llm.tokens import word_tokenizer
 END_ID = 49407
 #: Tokens searched at a time.
 BLOCK_TOKENS = 1 << 20
-#: Documents per file: the reader takes files of at most 2 GB.
-FILE_DOCUMENTS = 100_000
-#: Documents that a Python worker holds at a time, with their ids.
-BATCH_DOCUMENTS = 1_000
-
-
-@contextmanager
-def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Arrow batches of at most so many rows while a job runs."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, min(int(before), rows) if int(before) > 0 else rows)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+#: Bytes of ids that are written as one row, but for a longer document, and rows per file: the
+#: reader takes a file of some 64 MB as a whole.
+ROW_BYTES, FILE_ROWS = 1 << 20, 64
 
 
 def write_token_files(
-    docs: DataFrame, path: str, tokenizer_path: str, file_documents: int = FILE_DOCUMENTS
+    docs: DataFrame,
+    path: str,
+    tokenizer_path: str,
+    row_bytes: int = ROW_BYTES,
+    file_rows: int = FILE_ROWS,
 ) -> None:
     """The ids of every text of ``docs``, one after the other, each closed by the end id.
 
-    Spark's text writer puts the raw bytes of a row and the separator's two bytes; nothing else
-    is in the files, so they hold neither document ids nor offsets. Null text counts as empty.
+    A row holds the ids of documents of together about ``row_bytes``, end ids between them. Spark's
+    text writer puts the raw bytes of a row and the separator, which is the last end id; nothing
+    else is in the files, so they hold neither document ids nor offsets. A file holds ``file_rows``
+    rows at most, so its size is bounded in bytes whatever the number of documents; a document
+    longer than a row is a row of its own. Null text counts as empty.
     """
+    end = END_ID.to_bytes(2, "little")
 
-    @pandas_udf("binary")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(tokenizer_path, spell_special=True)
-        for texts in batches:
-            values = texts.tolist()
-            out: list[bytes] = []
-            for a, b in chunked(values):
-                for ids in tokenizer.ids(values[a:b]):
-                    out.append(np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes())
-            yield pd.Series(out, dtype=object)
-
-    separator = END_ID.to_bytes(2, "little").decode("latin-1")
-    flat = docs.select(encoded(text_of()).cast("string").alias("value"))
-    with batch_rows(docs.sparkSession, BATCH_DOCUMENTS):
-        flat.write.options(
-            lineSep=separator, encoding="ISO-8859-1", maxRecordsPerFile=file_documents
-        ).text(path)
+        held: list[bytes] = []
+        size = 0
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"value": pa.array([end.join(held)], pa.binary())})
+
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for a, b in chunked(texts):
+                for ids in tokenizer.ids(texts[a:b]):
+                    held.append(np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes())
+                    size += len(held[-1]) + 2
+                    if size >= row_bytes:
+                        yield row()
+                        held.clear()
+                        size = 0
+        if held:
+            yield row()
+
+    rows = docs.select(text_of().alias("text")).mapInArrow(run, "value binary")
+    rows.select(F.col("value").cast("string")).write.options(
+        lineSep=end.decode("latin-1"), encoding="ISO-8859-1", maxRecordsPerFile=file_rows
+    ).text(path)
 
 
 def block_ends(tokens: np.ndarray, end_id: int, block: int) -> Iterator[tuple[int, np.ndarray]]:

@@ -98,9 +98,11 @@ def test_pack(spark, docs, empty):
 @pytest.mark.parametrize("block", [3, 64, 1 << 20])
 def test_token_files(spark, docs, empty, tmp_path, block):
     path = str(tmp_path / "flat")
-    token_files.write_token_files(docs, path, WORD_BPE, file_documents=4)
+    token_files.write_token_files(docs, path, WORD_BPE, row_bytes=20, file_rows=2)
     rows = token_files.token_counts(spark, path, block_tokens=block).collect()
     want = [len(ids_of(t, True)) + 1 for t in [*TEXTS, TEXTS[3], "id is null"]]
+    sizes = [f.stat().st_size for f in (tmp_path / "flat").glob("part-*")]
+    assert max(sizes) <= 2 * (20 + 2 * max(want)) and len(sizes) > 2
     assert sorted(r.n_tokens for r in rows) == sorted(want)
     by_file = {}
     for r in sorted(rows, key=lambda r: (r.file, r.doc_no)):
