@@ -64,7 +64,7 @@ def at_once(*steps: Callable[[], object], threads: int = 4) -> list:
     """Runs steps that do not need each other from a few threads, so that one's last tasks leave
     cores to the next; each has a pool of its own where the cluster shares fairly. The first
     failure is raised when all have ended."""
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
 
     def run(step: Callable[[], object]) -> object:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"step-{id(step)}")

@@ -69,6 +69,19 @@ def test_bad_number_fails_unless_lenient(spark):
     assert conform(raw, "raw_materials", lenient=True).first()["raw_material_id"] is None
 
 
+def test_bad_date_is_null_or_fails(spark):
+    def typed(day, **options):
+        raw = spark.createDataFrame(
+            [("1", "Water", day, "1", "f", None, "l")], bronze_schema("raw_materials")
+        )
+        return conform(raw, "raw_materials", **options).first()["generation_date"]
+
+    assert typed("soon") is None and typed("  ", strict_dates=True) is None
+    assert typed(" 5/5/24 ", strict_dates=True) == date(2024, 5, 5)
+    with pytest.raises(Exception, match="generation_date: no date form fits soon"):
+        typed("soon", strict_dates=True)
+
+
 def test_gold_columns(gold):
     for table in GOLD_SCHEMAS:
         assert gold[table].columns == columns(table)
