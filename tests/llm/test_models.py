@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotbook.llm import quality, toxicity
-from lotbook.llm.common import fold, table
+from lotbook.llm.common import fold, table, training_rows
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, label int, id int, score string"
@@ -131,11 +131,22 @@ def test_quality_is_learnt_from_whole_documents(spark):
 
 def test_sample_is_bounded_by_whole_documents():
     documents = [(5, 1, 30), (2, 1, 80), (9, 1, 10), (7, 0, 500), (5, 1, 30), (3, 0, 4)]
-    assert quality.within(documents, 100) == {5, 2, 7}
+    # The shortest of each label, then what fits: no single document passes the bound.
+    assert quality.within(documents, 100) == {3, 9, 5}
     assert quality.within(documents, 10_000) == {2, 3, 5, 7, 9}
+    assert quality.within(documents, 3) == set()
     assert quality.within([], 100) == set()
 
 
+def test_an_id_is_one_training_row(spark):
+    docs = spark.range(5000).selectExpr("if(id < 4990, 1L, id) as doc_id", "'text ' || id as text")
+    labels = spark.range(5000).selectExpr("if(id < 4990, 1L, id) as doc_id", "int(id % 2) as toxic")
+    rows = training_rows(docs, labels, "toxic", 10).collect()
+    assert len({r.id for r in rows}) == len(rows) <= 11
+    first = [r for r in training_rows(docs, labels, "toxic", 100).collect() if r.id == 1]
+    assert [tuple(r) for r in first] == [(1, "text 0", 1)]
+
+
 @pytest.mark.parametrize("scored", [toxicity.toxicity_scores, quality.quality_scores])
 def test_odd_rows(spark, scored):
     labels = table(spark, SF, "labels").withColumn("text", F.lit("clash"))
