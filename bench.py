@@ -14,7 +14,6 @@ import os
 import re
 import statistics
 import time
-import uuid
 from collections.abc import Callable
 from contextlib import redirect_stdout
 from io import StringIO
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from lotbook.plans import marts, rebuild
 from lotbook.plans.entities import ENTITIES
-from lotbook.session import shared_folder, spark_session
+from lotbook.session import scratch, spark_session
 from lotbook.sources import Warehouse, load_raw
 from workload.raw import Base, raw_table
 from workload.registry import QUERIES
@@ -95,7 +94,7 @@ def main() -> None:
             make().explain()
         exchanges[name] = len(re.findall(r"\bExchange ", plan.getvalue()))
 
-    root = f"{shared_folder(spark)}/bench-{uuid.uuid4()}"
+    root = scratch(spark, "bench")
     warehouse = Warehouse(spark, f"{root}/warehouse")
     base = Base(spark, SF_DIR)
     for entity, fields in ENTITIES.items():
