@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotbook.llm import jaccard, packing, quality, secrets, toxicity
-from lotbook.llm.common import numbered, table, text_of, written
+from lotbook.llm.common import numbered, table, text_of, unused, written
 from lotbook.llm.queries import WORD_BPE
 
+#: Words that a worker keeps while it packs: the stages before have used the same workers.
+CACHE_WORDS = 200_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -34,13 +37,14 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Of each group of near copies one row, whatever its id: the one of the least doc_id, null
     ids last, and of its repeats the first in the table's files. Rows that share an id and differ
     in text belong to the groups of their texts. Rows without words stay."""
-    rows = numbered(docs, "_row")
-    found = jaccard.jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"))
-    ids = rows.select("_row", "doc_id")
-    groups = found.withColumnRenamed("doc_id", "_row").join(ids.hint("merge"), "_row")
-    least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row")))
-    kept = groups.groupBy("component_id").agg(least.alias("least")).select("least._row")
-    return rows.join(kept.hint("merge"), "_row", "left_semi").select(*docs.columns)
+    row = unused(docs, "_row")
+    rows = numbered(docs, row)
+    found = jaccard.jaccard_components(rows.select(F.col(row).alias("doc_id"), "text"))
+    ids = rows.select(row, "doc_id")
+    groups = found.withColumnRenamed("doc_id", row).join(ids.hint("merge"), row)
+    least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row)))
+    kept = groups.groupBy("component_id").agg(least.alias("least")).select(f"least.{row}")
+    return rows.join(kept.hint("merge"), row, "left_semi").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +60,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every row and their places in sequences; a null or empty text is one end
     id, and ids may be null or repeat."""
-    return packing.pack(docs, WORD_BPE)
+    return packing.pack(docs, WORD_BPE, cache_words=CACHE_WORDS)
 
 
 STAGES: list[tuple[str, Stage]] = [

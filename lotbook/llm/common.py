@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable
+from functools import wraps
+
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -26,14 +31,43 @@ def numbered(df: DataFrame, into: str) -> DataFrame:
         df.select("_metadata.row_index")
     except AnalysisException:
         df = written(df, "numbered")
-    path = F.xxhash64("_metadata.file_path")
+    path, place, index = (unused(df, name) for name in ("_path", "_place", "_index"))
     # One row per file; Spark's driver lists them anyway.
     files = sorted(r[0] for r in df.select("_metadata.file_path").distinct().collect())
-    places = df.sparkSession.createDataFrame(list(enumerate(files)), "_place long, _path string")
-    places = places.select("_place", F.xxhash64("_path").alias("_path"))
-    keyed = df.select("*", path.alias("_path"), F.col("_metadata.row_index").alias("_index"))
-    number = F.shiftleft("_place", 40) + F.col("_index")
-    return keyed.join(F.broadcast(places), "_path").select(*df.columns, number.alias(into))
+    places = df.sparkSession.createDataFrame(list(enumerate(files)), "place long, path string")
+    places = places.select(F.col("place").alias(place), F.xxhash64("path").alias(path))
+    keyed = df.select(
+        "*",
+        F.xxhash64("_metadata.file_path").alias(path),
+        F.col("_metadata.row_index").alias(index),
+    )
+    number = F.shiftleft(place, 40) + F.col(index)
+    return keyed.join(F.broadcast(places), path).select(*df.columns, number.alias(into))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or longer where the frame has such a column."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def lean(run: Callable) -> Callable:
+    """A task's function that gives the memory it has freed back to the system when it ends. A
+    Python worker goes on to the tasks of other operators, and what it keeps adds up."""
+
+    @wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped
 
 
 def fold(doc_id: Column) -> Column:

@@ -18,6 +18,7 @@ from lotbook.llm.common import (
     Words,
     chunked,
     group_slices,
+    lean,
     mix,
     text_of,
     whole_groups,
@@ -137,7 +138,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
             )
 
     texts = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
-    return texts.mapInArrow(run, "doc_id long, n long, key long, key2 long, bits binary")
+    return texts.mapInArrow(lean(run), "doc_id long, n long, key long, key2 long, bits binary")
 
 
 def common_shingles(docs: DataFrame) -> np.ndarray:
@@ -169,7 +170,7 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
     texts = docs.select(F.lit(0).alias("id"), text_of().alias("text"))
     counted = (
-        texts.mapInArrow(run, "shingle long, n long")
+        texts.mapInArrow(lean(run), "shingle long, n long")
         .groupBy("shingle")
         .agg(F.sum("n").alias("n"))
     )
@@ -293,11 +294,11 @@ def stars(docs: DataFrame, common: np.ndarray) -> DataFrame:
             )
 
     rows = texts.mapInArrow(
-        emit, "to long, shingle long, a long, n_a int, b long, n_b int, more boolean"
+        lean(emit), "to long, shingle long, a long, n_a int, b long, n_b int, more boolean"
     )
     met = rows.repartition("to").sortWithinPartitions("to", "b")
     return met.mapInArrow(
-        meet, "shingle long, a long, n_a int, b long, n_b int, more boolean, open boolean"
+        lean(meet), "shingle long, a long, n_a int, b long, n_b int, more boolean, open boolean"
     )
 
 
@@ -340,7 +341,7 @@ def near_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(
-        run, "a long, b long"
+        lean(run), "a long, b long"
     )
 
 
@@ -368,7 +369,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     # An id may stand in several rows; rows of other texts give sets that no pair asks for, and
     # rows of the same text the same set.
     chosen = texts.join(F.broadcast(named) if few else named.hint("merge"), "id")
-    sets = chosen.mapInArrow(make, "key long, shingles binary").dropDuplicates(["key"])
+    sets = chosen.mapInArrow(lean(make), "key long, shingles binary").dropDuplicates(["key"])
     sets = written(sets, "shingle-sets")
     side = lambda s: sets.select(F.col("key").alias(s), F.col("shingles").alias(f"set_{s}"))
     both = pairs.join(side("b").hint("merge"), "b").join(side("a").hint("merge"), "a")
@@ -385,7 +386,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
                 keep[i] = linked(shared, len(x), len(y))
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(lean(run), "a long, b long")
 
 
 # --- what stars leave open ------------------------------------------------------------------------
@@ -542,7 +543,7 @@ def open_pairs(
             found = np.unique(np.concatenate(pairs), axis=0)
             yield _rows(a=pa.array(found[:, 0].copy()), b=pa.array(found[:, 1].copy()))
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(lean(run), "a long, b long")
 
 
 def joined_components(reached: DataFrame, links: DataFrame) -> DataFrame:

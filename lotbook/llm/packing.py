@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lotbook.llm.common import chunked, text_of
-from lotbook.llm.tokens import word_tokenizer
+from lotbook.llm.common import chunked, lean, text_of
+from lotbook.llm.tokens import CACHE_WORDS, word_tokenizer
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
@@ -88,6 +88,7 @@ def pack(
     tokenizer_path: str,
     limit: int = SEQUENCE_TOKENS,
     block_tokens: int = BLOCK_TOKENS,
+    cache_words: int = CACHE_WORDS,
 ) -> DataFrame:
     """One row per piece of a document (doc_id, text): where it starts in the document, its ids'
     crc32, and its place (sequence_id, offset).
@@ -108,7 +109,7 @@ def pack(
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = word_tokenizer(tokenizer_path)
+        tokenizer = word_tokenizer(tokenizer_path, cache_words=cache_words)
         first = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
         names: list = []
         ids: list[bytes] = []
@@ -152,4 +153,4 @@ def pack(
         if names:
             yield flush()
 
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, schema)
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(lean(run), schema)

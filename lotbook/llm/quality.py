@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from lotbook.llm.common import Words, chunked, fold, text_of, training_rows
+from lotbook.llm.common import Words, chunked, fold, lean, text_of, training_rows
 
 #: Labelled documents that the model is fitted on, at most about this many.
 TRAIN_ROWS = 4_000
@@ -291,7 +291,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
     if len(taken) < len({r["id"] for r in lengths}):
         kept = docs.sparkSession.createDataFrame([(i,) for i in sorted(taken)], "id long")
         sample = sample.join(F.broadcast(kept), "id", "left_semi")
-    found = sample.mapInPandas(features, "id long, label int, rows binary, size binary")
+    found = sample.mapInPandas(lean(features), "id long, label int, rows binary, size binary")
     # In the order of the ids, so that a run again fits the same numbers.
     bags = sorted(found.collect(), key=lambda r: (r["id"], r["rows"]))
     label = np.array([r["label"] for r in bags], dtype=np.float64)
@@ -307,6 +307,7 @@ def quality(chain: Chain, text: Column) -> Column:
     """The score of each text, 0 to 1, higher for better ones. An empty text is one empty line."""
 
     @pandas_udf("double")
+    @lean
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             values = texts.tolist()

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from lotbook.llm.common import text_of
+from lotbook.llm.common import lean, text_of
 
 #: Kinds in the order of ties, with the shortest length that counts (of group 2 for "assign").
 KINDS = ("assign", "access", "hex", "entropy")
@@ -253,6 +253,7 @@ def redact(text: Column, mark: str = "[SECRET]", allowed: tuple[str, ...] = ALLO
     """
 
     @pandas_udf("string")
+    @lean
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         allow = _allow(allowed)
         for texts in batches:

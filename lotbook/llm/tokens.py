@@ -26,11 +26,12 @@ class WordTokenizer:
     #: White space to ``str.split``, but not to the tokenizer; such texts are encoded whole.
     _SEPARATORS = re.compile("[\x1c-\x1f]")
 
-    def __init__(self, path: str, spell_special: bool = False):
+    def __init__(self, path: str, spell_special: bool = False, cache_words: int = CACHE_WORDS):
         """With ``spell_special`` the names of special tokens in a text are plain text, so their
         ids occur nowhere; else they are those tokens, as in the file."""
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = spell_special
+        self._cache_words = cache_words
         spelt = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = map(chr, range(0xDF, 0x100))
         self._spelling = {ord(c): spelt.pre_tokenize_str(c)[0][0] for c in letters}
@@ -55,7 +56,7 @@ class WordTokenizer:
         for start in range(0, len(missing), 4096):
             self._encode(missing[start : start + 4096])
         found = [b"".join(map(young.__getitem__, part)) for part in parts]
-        if len(young) > CACHE_WORDS // 2:
+        if len(young) > self._cache_words // 2:
             self._old, self._young = young, {}
         return found
 
@@ -84,6 +85,8 @@ class WordTokenizer:
 
 
 @lru_cache(maxsize=2)
-def word_tokenizer(path: str, spell_special: bool = False) -> WordTokenizer:
+def word_tokenizer(
+    path: str, spell_special: bool = False, cache_words: int = CACHE_WORDS
+) -> WordTokenizer:
     """One per Python worker. The file is read where the task runs."""
-    return WordTokenizer(path, spell_special)
+    return WordTokenizer(path, spell_special, cache_words)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from lotbook.llm.common import chunked, fold, text_of, training_rows
+from lotbook.llm.common import chunked, fold, lean, text_of, training_rows
 
 #: Labelled documents that the lexicon is learnt from, at most about this many.
 TRAIN_ROWS = 10_000
@@ -59,7 +59,7 @@ def corpus_trigrams(docs: DataFrame) -> np.ndarray:
         codes = np.flatnonzero(total)
         yield pd.DataFrame({"code": codes, "n": total[codes]})
 
-    counted = docs.select(text_of().alias("text")).mapInPandas(count, "code long, n long")
+    counted = docs.select(text_of().alias("text")).mapInPandas(lean(count), "code long, n long")
     total = np.zeros(SYMBOLS**3, dtype=np.int64)
     for row in counted.groupBy("code").agg(F.sum("n").alias("n")).collect():
         total[row["code"]] = row["n"]
@@ -442,7 +442,7 @@ def fit_toxicity(
 
     counted = (
         sample.select("text", "label")
-        .mapInPandas(count, "feature string, toxic long, clean long")
+        .mapInPandas(lean(count), "feature string, toxic long, clean long")
         .groupBy("feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .filter((F.col("toxic") >= 3) & (F.col("clean") < F.col("toxic")))
@@ -463,7 +463,7 @@ def fit_toxicity(
             )
 
     toxic = sample.filter("label = 1").select("id", "text")
-    rows = toxic.mapInPandas(occur, "id long, context long, found array<string>").collect()
+    rows = toxic.mapInPandas(lean(occur), "id long, context long, found array<string>").collect()
     rows.sort(key=lambda r: (r["id"], r["found"]))
     toxic_docs = [(r["context"], r["found"]) for r in rows]
     lexicon, base = learn(shares, toxic_docs, n_toxic, n_clean)
@@ -474,6 +474,7 @@ def toxicity(model: ToxicityModel, text: Column) -> Column:
     """The score of each text, 0 to 1, higher for toxic ones. An empty text gets the least."""
 
     @pandas_udf("double")
+    @lean
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield texts.map(model.score).astype("float64")
