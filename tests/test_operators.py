@@ -135,6 +135,20 @@ def test_asof_carry_over_many_ranges(spark, rows):
     assert asof_version(df, dim.limit(0), ["k", "m"], {"t": "t"}).count() == 0
 
 
+def test_asof_carry_over_many_batches_of_a_task(spark, rows):
+    """A task's later batches join the row carried on from the ones before."""
+    dim = dimension(spark, [(k, v) for k in "ab" for v in range(0, 300, 3)], None)
+    asked = [(k, v) for k in "ab" for v in range(300)]
+    df = spark.createDataFrame(asked, "k string, batch_number bigint")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = asof_version(df, dim, ["k"], {"a": "a"})
+        assert rows(found) == sorted(((k, v, f"{k}{v - v % 3}") for k, v in asked), key=repr)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 @pytest.mark.parametrize("partitions", [1, 5])
 def test_exact_sum(spark, partitions):
     rng = random.Random(4)
