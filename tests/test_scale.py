@@ -1,6 +1,7 @@
 """The shape of plans: what must hold whatever the size of the data."""
 
 import re
+import time
 from contextlib import redirect_stdout
 from io import StringIO
 
@@ -18,6 +19,7 @@ from lotbook.plans import marts, rebuild
 from lotbook.plans.entities import GOLD_SCHEMAS
 from lotbook.plans.rebuild import LazyGold
 from lotbook.quality import checks, metrics, suite
+from lotbook.session import shuffles_dropped
 from lotbook.sources import Warehouse
 from workload.registry import QUERIES, Silver
 
@@ -97,6 +99,43 @@ def test_uncounted_rows_are_not_broadcast(spark):
     assert "BuildLeft" not in plan_of(gold["fact_recipe_components"])
 
 
+def test_uncounted_dimensions_are_not_broadcast(spark, written):
+    """However small Catalyst takes them for."""
+    rows = spark.range(9).selectExpr("id as k", "id as batch_number")
+    dim = rows.selectExpr("*", "md5(string(k)) as sk")
+    assert "BroadcastHashJoin" not in plan_of(exact_version(rows, dim, "k", {"sk": "sk"}))
+    assert "BroadcastHashJoin" not in plan_of(marts.top_flavours(written))
+    named = operators(marts.recipe_constituents(written, "R1", 3))
+    assert named.count("BroadcastHashJoin") <= 1  # the one recipe
+    assert named.count("SortMergeJoin") >= 3
+
+
+def test_lookups_of_keys_make_no_attributes(spark):
+    gold = LazyGold(Silver(spark, SMALLEST), 9)
+    plan = plan_of(gold["fact_recipe_components"])
+    assert "row_number" not in plan and "p_type" not in plan
+    # Keys are written out above the last exchange.
+    assert "md5" not in plan[plan.index("Exchange hashpartitioning(component_id") :]
+
+
+def test_rules_travel_as_numbers(written):
+    plan = plan_of(checks.key_groups(written, suite.KEY_RULES))
+    assert re.search(r"Exchange hashpartitioning\(rule#\d+, value#", plan)
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: disk.getAllFiles().size()
+    before = shuffled()
+    with shuffles_dropped(spark):
+        df = spark.range(0, 1000, 1, 4).selectExpr("id % 7 as k").groupBy("k").count()
+        df.write.format("noop").mode("overwrite").save()
+    deadline = time.time() + 20
+    while shuffled() > before and time.time() < deadline:
+        time.sleep(0.2)
+    assert shuffled() <= before
+
+
 @pytest.fixture
 def written(spark, tmp_path):
     """Empty gold tables in files, the component fact partitioned by batch."""

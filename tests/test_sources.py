@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +7,7 @@ from lotbook.functions import drop_path, source_name
 from lotbook.plans.entities import bronze_schema
 from lotbook.sources import Warehouse, load_raw, raw_drops
 from lotbook.sources.raw import read_log
+from workload import registry
 
 HEADER = "raw_material_id,name,generation_date,batch_number\n"
 
@@ -147,3 +150,20 @@ def test_what_is_loaded_before_a_failure_is_logged(spark, drops, warehouse, rows
     with pytest.raises(Exception):
         load_raw(spark, f"{drops}/*/*.csv", warehouse)
     assert rows(read_log(warehouse).select("source_file", "rows_loaded")) == [("flavours.csv", 1)]
+
+
+def test_tables_are_packed_and_loaded_drops_are_gone(spark):
+    """The drops of the derived raw tables are scratch data."""
+    warehouse = registry.loaded_warehouse(spark, "/root/testdata/sf0.001")
+    root = Path(warehouse.root)
+    assert not (root.parent / "drops").exists()
+    files = list((root / "bronze" / "recipes").rglob("*.parquet"))
+    assert files and all(f.name.endswith(".zstd.parquet") for f in files)
+
+
+def test_columns_finished_in_the_writing_tasks(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, str(tmp_path))
+    df = spark.range(9).selectExpr("id as a", "id % 2 as b")
+    warehouse.replace("gold", "t", df, "b", lambda d: d.selectExpr("a", "md5(string(a)) as k", "b"))
+    found = warehouse.read("gold", "t", "a bigint, k string, b bigint")
+    assert rows(found) == rows(df.selectExpr("a", "md5(string(a)) as k", "b"))
