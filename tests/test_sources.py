@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lotbook.functions import drop_path, source_name
 from lotbook.plans.entities import bronze_schema
-from lotbook.sources import Warehouse, load_raw, raw_drops
+from lotbook.sources import Warehouse, load_raw, raw, raw_drops
 from lotbook.sources.raw import read_log
 from workload import registry
 
@@ -106,6 +106,39 @@ def test_wrong_shape_fails(spark, drops, warehouse, content):
         load_raw(spark, f"{drops}/*.csv", warehouse)
 
 
+def test_names_are_looked_up_per_file(spark, drops, warehouse, rows, monkeypatch):
+    """Rows take their drop's name from a listing, and only a file that it lacks is taken apart."""
+    (drops / "my raw+materials.csv").mkdir()
+    for part in (1, 2):
+        (drops / "my raw+materials.csv" / f"part-{part}.csv").write_text(HEADER + f"{part},a,,1\n")
+    plans, append = [], Warehouse.append
+
+    def spied(self, layer, table, df, *more, **named):
+        if table != "_ingestion_log":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return append(self, layer, table, df, *more, **named)
+
+    monkeypatch.setattr(Warehouse, "append", spied)
+    load_raw(spark, f"{drops}/*.csv", warehouse)
+    found = warehouse.read("bronze", "my_raw_materials", "raw_material_id string, _source_file string")
+    assert rows(found) == [("1", "my raw+materials.csv"), ("2", "my raw+materials.csv")]
+    top = plans[0].split("Relation")[0].splitlines()[0]
+    assert "coalesce(_names_source" in top and "coalesce(_names_drop" in top
+
+
+def test_a_file_after_the_listing_has_its_name(spark, drops, warehouse, rows, monkeypatch):
+    """Such a file of a drop that is known is loaded and named like the others."""
+    (drops / "raw_materials.csv").mkdir()
+    (drops / "raw_materials.csv" / "part-1.csv").write_text(HEADER + "1,a,,1\n")
+    listed = raw._files(spark, f"{drops}/*.csv").localCheckpoint()
+    (drops / "raw_materials.csv" / "part-2.csv").write_text(HEADER + "2,a,,1\n")
+    monkeypatch.setattr(raw, "_files", lambda *_: listed)
+    load_raw(spark, f"{drops}/*.csv", warehouse)
+    found = materials(warehouse).select("raw_material_id", "_source_file")
+    assert rows(found) == [("1", "raw_materials.csv"), ("2", "raw_materials.csv")]
+    assert read_log(warehouse).first()["rows_loaded"] == 2
+
+
 def test_no_match_is_an_error(spark, drops):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         raw_drops(spark, f"{drops}/*.csv").collect()
