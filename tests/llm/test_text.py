@@ -62,6 +62,21 @@ def test_word_ids_equal_the_tokenizers():
             assert found == [ids_of(t, spelt) for t in texts]
 
 
+def test_words_with_closing_marks_need_no_merges_of_their_own():
+    """The ids of a word and those of the marks behind it are kept apart, for every ASCII mark."""
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    runs = ["", *marks, *(a + b for a in marks for b in marks), "###", "%%%", "?!?", "</w", "----"]
+    words = [f"{word}{run}" for word in ("Straße", "it", "OK") for run in runs]
+    words += ["it's", "'s", "IT'LL", "s'", "x''", "a_b", "a.b.", "<|endoftext|>", "it<|endoftext|>!"]
+    tokenizer = WordTokenizer(WORD_BPE, cache_words=500)
+    whole, asked = tokenizer._whole, []
+    tokenizer._whole = lambda part: asked.append(part) or whole(part)
+    found = [np.frombuffer(x, "<u4").tolist() for x in tokenizer.ids(words)]
+    plain = Tokenizer.from_file(WORD_BPE)
+    assert found == [plain.encode(word, add_special_tokens=False).ids for word in words]
+    assert not {"it###", "OK?!?"} & set(asked) and "it----" in asked
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 300), min_size=1, max_size=40))
 def test_balance_places_every_token_once(lengths):
