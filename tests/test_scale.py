@@ -118,6 +118,27 @@ def test_lookups_of_keys_make_no_attributes(spark):
     assert "md5" not in plan[plan.index("Exchange hashpartitioning(component_id") :]
 
 
+def test_null_tests_of_plans_make_no_attributes(spark, rows):
+    """Only the tested columns of unwritten dimensions are made, and all of their rows."""
+    silver = dict(Silver(spark, SMALLEST))
+    extra = silver["ingredients"].limit(9).selectExpr(
+        "* except (batch_number, ingredient_id)", "cast(null as bigint) as batch_number",
+        "if(provider_id % 2 = 0, null, ingredient_id) as ingredient_id",
+    )
+    silver["ingredients"] = silver["ingredients"].unionByName(extra).unionByName(extra)
+    gold = LazyGold(silver, 9)
+    report = suite.null_report("gold", gold)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window" in line]
+    assert windows and not any("ingredient_name" in line for line in windows)
+    assert any("yield_pct" in line for line in windows)  # tested, so it is made
+    whole = suite.null_report("gold", {table: gold[table] for table in gold if table in suite.NOT_NULL["gold"]})
+    assert rows(report) == rows(whole)
+    for dim in ("dim_ingredient", "dim_customer"):
+        names = suite.NOT_NULL["gold"][dim]
+        assert rows(gold.columns(dim, names)) == rows(gold[dim].select(*names))
+
+
 def test_rules_travel_as_numbers(written):
     plan = plan_of(checks.key_groups(written, suite.KEY_RULES))
     assert re.search(r"Exchange hashpartitioning\(rule#\d+, value#", plan)
