@@ -15,8 +15,8 @@ from lotbook.operators import (
     lookups,
     versioned_dimension,
 )
-from lotbook.plans import marts, rebuild
-from lotbook.plans.entities import GOLD_SCHEMAS
+from lotbook.plans import facts, marts, rebuild
+from lotbook.plans.entities import COMPONENTS, GOLD_SCHEMAS
 from lotbook.plans.rebuild import LazyGold
 from lotbook.quality import checks, metrics, suite
 from lotbook.session import shuffles_dropped
@@ -118,6 +118,56 @@ def test_lookups_of_keys_make_no_attributes(spark):
     assert "md5" not in plan[plan.index("Exchange hashpartitioning(component_id") :]
 
 
+@pytest.fixture
+def recipes_of_few_flavours(spark):
+    """Recipes that name 3 flavours and 5 ingredients over and over, and ever new raw materials.
+    Ids and batches may be missing; versions repeat, begin late or lack a batch."""
+    ratios = [f"cast(id % 4 as double) / 4 as {kind}_ratio" for kind in COMPONENTS]
+    recipes = spark.range(0, 900, 1, 4).selectExpr(
+        "if(id % 50 = 0, null, 'R' || id div 2) as recipe_id",
+        "if(id % 31 = 0, null, id % 5) as batch_number", "date '2024-01-01' as generation_date",
+        "id as raw_material_id", "if(id % 7 = 0, null, id % 3) as flavour_id",
+        "id % 5 as ingredient_id", *ratios,
+    )
+
+    def entity(key, rows):
+        return spark.range(rows).selectExpr(
+            f"if(id % 11 = 10, null, id div 3) as {key}", "if(id % 6 = 5, null, id % 4) as batch_number"
+        )
+
+    tables = {"raw_materials": entity("raw_material_id", 2700), "flavours": entity("flavour_id", 300),
+              "ingredients": entity("ingredient_id", 300), "recipes": recipes}
+    return {name: df.unionByName(df) for name, df in tables.items()}
+
+
+def test_slots_that_name_few_ids_stay_in_place(spark, rows, monkeypatch, recipes_of_few_flavours):
+    silver = recipes_of_few_flavours
+    spans = {kind: 5 for kind in COMPONENTS}
+    monkeypatch.setattr(facts, "FEW_ASKED", 100)
+    few = facts.few_asked(silver["recipes"], spans)
+    assert few == {"flavour": 15, "ingredient": 25}
+    found = LazyGold(silver, lambda entity: 5)["fact_recipe_components"]
+    moved = LazyGold(silver, 5)["fact_recipe_components"]  # counts nothing, so all slots move
+    assert found.columns == moved.columns
+    assert rows(found) == rows(moved) and found.count() > 3000
+    kinds = {r[0] for r in found.select("component_type").distinct().collect()}
+    assert kinds == set(COMPONENTS)
+    found = LazyGold(silver, lambda entity: 5)["fact_recipe_components"]  # not yet run
+    plan = plan_of(found)
+    # The slots of raw materials, and no others, go to their versions.
+    assert plan.count("Exchange hashpartitioning(component_id") == 1
+    assert plan.count("SortMergeJoin") == 1 and "LeftSemi, BuildRight" in plan
+    stacks = re.findall(r"Generate stack\((\d)", plan)
+    assert sorted(stacks) == ["1", "2"]
+
+
+def test_kinds_of_slots_travel_as_numbers(spark):
+    plan = plan_of(LazyGold(Silver(spark, SMALLEST), 9)["fact_recipe_components"])
+    below = plan[plan.index("Exchange hashpartitioning(component_id") :]
+    assert re.search(r"Exchange hashpartitioning\(component_id#\d+L, _kind#\d+", plan)
+    assert "raw_material," not in below.replace("raw_material_", "")
+
+
 def test_null_tests_of_plans_make_no_attributes(spark, rows):
     """Only the tested columns of unwritten dimensions are made, and all of their rows."""
     silver = dict(Silver(spark, SMALLEST))
