@@ -161,6 +161,35 @@ def test_slots_that_name_few_ids_stay_in_place(spark, rows, monkeypatch, recipes
     assert sorted(stacks) == ["1", "2"]
 
 
+@pytest.mark.parametrize("few", [2, 100])
+def test_components_are_counted_before_their_keys_are_written(
+    spark, monkeypatch, recipes_of_few_flavours, few
+):
+    """Recipes repeat, so a component's rows are more than its recipes."""
+    monkeypatch.setattr(facts, "FEW_ASKED", few)
+    silver = dict(recipes_of_few_flavours)
+    for entity, kind in (("raw_materials", "raw_material"), ("flavours", "flavour"), ("ingredients", "ingredient")):
+        silver[entity] = silver[entity].selectExpr(
+            "*", f"'{kind} ' || {kind}_id % 7 as {kind}_name", "'x' as flavour_description",
+            "'y' as chemical_formula", "1 as provider_id", "1.0D as weight_in_grams",
+            "1.0D as cost_per_gram", "date '2024-01-01' as generation_date",
+            "timestamp '2024-01-01' as _ingested_at_utc",
+        ).drop(*(["flavour_name"] if kind != "flavour" else []))
+    gold = LazyGold(silver, lambda entity: 5)
+    tables = {table: gold[table] for table in ("fact_recipe_components", *COMPONENTS.values())}
+    ours = marts.component_importance(gold, 5000)
+    plan = plan_of(ours)
+    assert "recipe_sk" not in plan and "component_sk" in plan
+    # Only slots that stayed in place move for the count, by an id and a version.
+    counted = re.findall(r"Exchange hashpartitioning\([^)]*recipe_id[^)]*\)", plan)
+    assert len(counted) == (few == 100)
+    found = ours.collect()
+    assert found == marts.component_importance(tables, 5000).collect()
+    assert {r.component_type for r in found} == set(COMPONENTS)
+    rows = gold["fact_recipe_components"].count()
+    assert rows > sum(r.recipes_using_component for r in found) > 1000
+
+
 def test_kinds_of_slots_travel_as_numbers(spark):
     plan = plan_of(LazyGold(Silver(spark, SMALLEST), 9)["fact_recipe_components"])
     below = plan[plan.index("Exchange hashpartitioning(component_id") :]
