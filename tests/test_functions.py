@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotbook.functions import blank_to_null, fold, parse_date, percentage, surrogate_key, table_name
+from lotbook.plans.conform import conform
+from lotbook.plans.entities import ENTITIES, bronze_schema
 
 DATES = {
     "2024-05-08": date(2024, 5, 8),
@@ -69,6 +71,15 @@ def test_parse_date_agrees_with_format_by_format_parsing(spark):
     assert dict(zip(texts, ours)) == dict(zip(texts, expected))
 
 
+@pytest.mark.parametrize("entity", ENTITIES)
+def test_typing_a_table_is_compiled(spark, tmp_path, entity):
+    """The JVM interprets methods of more than 8,000 bytes."""
+    spark.createDataFrame([], bronze_schema(entity)).write.parquet(f"{tmp_path}/t")
+    typed = conform(spark.read.parquet(f"{tmp_path}/t"), entity)
+    stages = typed._jdf.queryExecution().debug().codegenToSeq()
+    assert stages.size() == 1 and 0 < stages.apply(0)._3().maxMethodCodeSize() < 8000
+
+
 def test_surrogate_key(spark):
     df = spark.createDataFrame([(1, None)], "a bigint, b string")
     assert df.select(surrogate_key("a", "b")).first()[0] == "77ada0e2dd6174c9e2c06b767e300d58"
