@@ -109,6 +109,20 @@ def test_key_rules_share_one_exchange(spark, rows):
     assert {r.violations for r in report.collect()} == {0} and report.count() == len(rules)
 
 
+def test_hashed_keys_travel_as_bytes(spark, rows):
+    """Text that is no such key stays apart from it, however alike, and comes back as it was."""
+    key = "61" * 15 + "62"
+    alike = ["a" * 15 + "b", key.upper().replace("6", "A"), key + "\n", " " + key, key[:-1], key + "0",
+             "", "\u0663" * 32, "g" * 32]
+    df = spark.createDataFrame([(v,) for v in [key, *alike] for _ in range(2)] + [(None,)], "sk string")
+    once = spark.createDataFrame([(key,)], "sk string")
+    assert rows(checks.repeated_values(df, "sk")) == sorted(((v, 2) for v in [key, *alike]), key=repr)
+    assert rows(checks.orphan_keys(df, "sk", once, "sk")) == sorted(((v, 2) for v in alike), key=repr)
+    groups = checks.key_groups({"t": df}, [checks.KeyRule(checks.UNIQUE, "t", "sk")])
+    plan = groups._jdf.queryExecution().executedPlan().toString()
+    assert "unhex" in plan[plan.index("Exchange hashpartitioning(rule") :]
+
+
 def test_recipe_profile_counts_labels_it_does_not_know(spark, rows):
     parts = [("r", k, 0.1) for k in ("flavour", "flavour", "ingredient", "raw_material")]
     parts += [("s", "spice", 0.5), ("s", "spice", 0.25), ("s", "flavour", None)]
