@@ -21,7 +21,7 @@ from lotbook.plans.rebuild import LazyGold
 from lotbook.quality import checks, metrics, suite
 from lotbook.session import shuffles_dropped
 from lotbook.sources import Warehouse
-from workload.registry import QUERIES, Silver
+from workload.registry import QUERIES, REFERENCES, Misled, Silver
 
 SMALLEST = "/root/testdata/sf0.001"
 
@@ -223,6 +223,26 @@ def test_rules_travel_as_numbers(written):
     assert re.search(r"Exchange hashpartitioning\(rule#\d+, value#", plan)
 
 
+def test_key_rules_of_plans_make_no_attributes(spark, rows):
+    """Only the columns of the rules are made of unwritten dimensions."""
+    gold = LazyGold(Silver(spark, SMALLEST), 9)
+    references = [rule for rule in REFERENCES if not rule.table.startswith("s_")]
+    unique = [rule for rule in suite.KEY_RULES if rule.kind == checks.UNIQUE]
+    for tables, rules in ((gold, unique), (Misled(gold), references)):
+        groups = checks.key_groups(tables, rules)
+        plan = groups._jdf.queryExecution().optimizedPlan().toString()
+        windows = [line for line in plan.splitlines() if "Window" in line]
+        assert not any("ingredient_name" in line or "yield_pct" in line for line in windows)
+        whole = {table: tables[table] for table in suite.NOT_NULL["gold"]}
+        assert rows(groups) == rows(checks.key_groups(whole, rules))
+
+
+def test_stock_moves_without_its_own_key(spark):
+    plan = plan_of(LazyGold(Silver(spark, SMALLEST), 9)["fact_provider_ingredient_stock"])
+    moved = re.findall(r"Exchange hashpartitioning\(provider_id.*", plan)
+    assert moved and "ingredient_sk" not in plan[plan.index(moved[0]) :]
+
+
 def test_shuffle_files_go_with_their_query(spark):
     disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     shuffled = lambda: disk.getAllFiles().size()
