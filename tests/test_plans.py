@@ -1,6 +1,7 @@
 """A small warehouse from files to answers."""
 
 from datetime import date
+from shutil import copytree
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,6 +127,21 @@ def test_component_fact(gold, rows):
     assert rows(mint.select("batch_number", "valid_from_batch")) == [(2, 1), (5, 4)]
 
 
+def test_rebuilt_slots_of_few_ids_stay_in_place(spark, warehouse, gold, rows, monkeypatch, tmp_path):
+    """The same components where dimensions are too large to be broadcast whole."""
+    before, asked = rows(gold["fact_recipe_components"]), []
+    few_asked = rebuild.facts.few_asked
+    monkeypatch.setattr(rebuild, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(
+        rebuild.facts, "few_asked", lambda *args: asked.append(few_asked(*args)) or asked[-1]
+    )
+    other = Warehouse(spark, f"{tmp_path}/warehouse")
+    copytree(warehouse.root, other.root)
+    rebuild.rebuild_gold(other)
+    assert [set(few) for few in asked] == [{"raw_material", "flavour", "ingredient"}]
+    assert rows(rebuild.read_gold(other)["fact_recipe_components"]) == before
+
+
 def test_marts(gold, rows):
     top = [tuple(r) for r in marts.top_customers(gold).collect()]
     assert top == [("Ann", 21.0), ("Ann B", 5.0), ("Bob", 3.0)]

@@ -299,6 +299,33 @@ def test_null_tests_read_each_table_once(written):
     assert plan.count("FileScan") == len(suite.NOT_NULL["gold"])
 
 
+@pytest.mark.parametrize("mart", [False, True])
+def test_ratio_sums_are_put_together_once(written, spark, mart):
+    """Tested as text of their parts they made code that the JVM does not compile."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        if mart:
+            found = marts.recipes_with_odd_ratio_sum(written)
+        else:
+            found = checks.recipe_ratio_sums_not_one(written["fact_recipe_components"])
+        stages = found._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sizes and max(sizes) < 8000
+
+
+def test_odd_ratio_sums(spark, rows):
+    parts = spark.createDataFrame(
+        [("a", 1, "flavour", 0.5), ("a", 1, "ingredient", 0.5), ("b", 2, "flavour", 0.25),
+         ("c", 3, "flavour", None), ("d", None, "flavour", 1.5), (None, 4, "flavour", -1.0)],
+        "recipe_sk string, batch_number bigint, component_type string, component_ratio double",
+    )
+    assert rows(checks.recipe_ratio_sums_not_one(parts)) == [
+        ("b", 2, 0.25), ("d", None, 1.5), (None, 4, -1.0),
+    ]
+
+
 def test_recipes_are_profiled_in_one_exchange(written, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
